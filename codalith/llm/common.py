@@ -85,10 +85,11 @@ def texts(column: pa.Array) -> list[bytes]:
 
 
 def filter_batches(docs: DataFrame, keeps) -> DataFrame:
-    """The rows of docs, all columns, for which keeps(text column) is true; it gets and returns whole Arrow columns."""
+    """The rows of docs, all columns, that keeps()(text column) marks; keeps() is called once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = keeps()
         for batch in batches:
-            yield batch.filter(pa.array(keeps(batch.column("text")), pa.bool_()))
+            yield batch.filter(pa.array(marks(batch.column("text")), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -95,7 +95,7 @@ def score(docs: DataFrame, model: Ranker) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Ranker, cut: float = CUT) -> DataFrame:
     """The rows of docs that score cut or more, all columns."""
-    return common.filter_batches(docs, lambda text: column_scores(text, model) >= cut)
+    return common.filter_batches(docs, lambda: lambda text: column_scores(text, model) >= cut)
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:

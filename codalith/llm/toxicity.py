@@ -1,13 +1,14 @@
-"""Toxicity: cumulative-link ordinal regression on sparse word features.
+"""Toxicity: cumulative-link ordinal regression on sparse text features.
 
 P(grade > k) = sigmoid(w . x - theta_k): one weight vector for all thresholds, theta kept in order by
-positive steps. x holds log(1 + count) of lower-cased letter runs that the labelled sample shows often
-enough. Expected severity is the sum of P(grade > k) over the thresholds.
+positive steps. x holds log(1 + count) of lower-cased letter runs and of their beginnings (so that
+inflected forms count), as far as the labelled sample shows them often enough and unevenly enough.
+Expected severity is the sum of P(grade > k) over the thresholds.
 
 The table `labels` knows two grades, so one threshold is learnt there; any number works.
 
 Defined results: null text counts as empty; a sample of one grade gives that grade to all; repeated
-rows score alike; words are compared whole, so hash collisions can't make a clean text toxic.
+rows score alike; features are compared whole, so hash collisions can't make a clean text toxic.
 """
 
 from __future__ import annotations
@@ -22,16 +23,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codalith.llm import common, labelled
+from codalith.llm import common, labelled, words
 
-#: Bounds of the training sample (documents of each label) and of the vocabulary learnt from it.
-PER_CLASS, MAX_FEATURES, MIN_DOCUMENTS = 2000, 20_000, 4
+#: Bounds of the training sample (documents of each label) and of the features learnt from it.
+PER_CLASS, MAX_FEATURES, MIN_DOCUMENTS, MIN_CHI2 = 2000, 4000, 4, 12.0
+#: Lengths of the beginnings of a letter run that are features.
+BEGINNINGS = range(3, 7)
 TOXIC = 0.5
+CACHE_ENTRIES = 1_000_000
 _RUN = re.compile(r"[^\W\d_]+")
 
 
-def counted(text: str | None) -> Counter:
-    return Counter(_RUN.findall((text or "").lower()))
+def word_features(word: str) -> list[str]:
+    """Features of one white-space-separated word: its letter runs, and ^ with their beginnings."""
+    return [f for run in _RUN.findall(word.lower()) for f in (run, *("^" + run[:n] for n in BEGINNINGS if n <= len(run)))]
 
 
 @dataclass
@@ -40,13 +45,41 @@ class OrdinalModel:
     thresholds: tuple[float, ...] = ()
     lowest: int = 0
 
+    def expected(self, z: np.ndarray) -> np.ndarray:
+        return self.lowest + sum((labelled.sigmoid(z - t) for t in self.thresholds), np.zeros(len(z)))
+
     def severity(self, text: str | None) -> float:
-        """Expected grade."""
-        z = 0.0
-        runs = _RUN.findall((text or "").lower())
-        for word in self.weights.keys() & set(runs):
-            z += self.weights[word] * np.log1p(runs.count(word))
-        return self.lowest + sum(float(labelled.sigmoid(np.array(z - t))) for t in self.thresholds)
+        """Expected grade of one text."""
+        counts = Counter(f for w in (text or "").split() for f in word_features(w) if f in self.weights)
+        return float(self.expected(np.array([sum(self.weights[f] * np.log1p(n) for f, n in counts.items())]))[0])
+
+
+class Scorer:
+    """Expected grades of many texts; each distinct word is taken apart once."""
+
+    def __init__(self, model: OrdinalModel):
+        self.model = model
+        self.number = {f: i for i, f in enumerate(model.weights)}
+        self.weights = np.array(list(model.weights.values()) or [0.0])
+        self.pool = words.SlicePool(CACHE_ENTRIES, np.int32)
+
+    def column(self, text: pa.Array) -> np.ndarray:
+        data, offsets = common.utf8(text)
+        z = np.zeros(len(offsets) - 1)
+        for i, j in common.chunks(offsets):
+            part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            starts, ends, first = words.bounds(part, local)
+            raw = part.tobytes()
+
+            def make(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                found = [[self.number[f] for f in word_features(raw[a:b].decode(errors="replace")) if f in self.number] for a, b in zip(starts[new].tolist(), ends[new].tolist())]  # noqa: B023
+                return np.array([x for f in found for x in f], np.int32), np.array([len(f) for f in found], np.int64)
+
+            begin, length = self.pool.look_up(words.hashes(part, starts, ends), make)
+            doc = np.repeat(np.repeat(np.arange(j - i), np.diff(first)), length)
+            seen, count = np.unique(doc * len(self.weights) + words.gather(self.pool.pool, begin, length), return_counts=True)
+            z[i:j] = np.bincount(seen // len(self.weights), weights=self.weights[seen % len(self.weights)] * np.log1p(count), minlength=j - i)
+        return self.model.expected(z)
 
 
 def fit(features: list[dict[int, float]], grades: np.ndarray, n_features: int, l2: float = 1e-3, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
@@ -90,53 +123,52 @@ def fit(features: list[dict[int, float]], grades: np.ndarray, n_features: int, l
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [counted(x) for x in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], ["doc_id", "label", "words", "counts"])
+        found = [Counter(f for w in (x or "").split() for f in word_features(w)) for x in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array([list(c) for c in found], pa.list_(pa.string())), pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))], ["doc_id", "label", "features", "counts"])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_features: int = MAX_FEATURES, min_documents: int = MIN_DOCUMENTS) -> OrdinalModel:
     """Learns from at most per_class documents of each label outside the held-out fold.
 
-    The vocabulary keeps words of at least min_documents sample documents, at most max_features by how
-    much their document shares differ between the grades.
+    Features are kept that min_documents sample documents hold and whose document shares differ between
+    the grades (chi-square of MIN_CHI2 or more), at most max_features of them, the most uneven first.
     """
-    rows = common.stage_table(labelled.sample(docs, labels, "toxic", per_class).mapInArrow(_counts, "doc_id long, label int, words array<string>, counts array<int>"), "toxic")
+    rows = common.stage_table(labelled.sample(docs, labels, "toxic", per_class).mapInArrow(_counts, "doc_id long, label int, features array<string>, counts array<int>"), "toxic")
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not totals:
-        return OrdinalModel()
     if len(totals) < 2:
-        return OrdinalModel(lowest=next(iter(totals)))
-    pairs = rows.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("n1"))
-    contrast = F.abs(F.col("n1") / totals.get(1, 1) - (F.col("n") - F.col("n1")) / totals.get(0, 1))
-    chosen = [r["word"] for r in pairs.where(F.col("n") >= min_documents).orderBy(contrast.desc(), "word").limit(max_features).collect()]
-    number = {w: i for i, w in enumerate(chosen)}
-    pick = F.broadcast(docs.sparkSession.createDataFrame([(w, i) for w, i in number.items()], "word string, i int")) if number else None
-    if pick is None:
+        return OrdinalModel(lowest=next(iter(totals), 0))
+    n0, n1 = totals[0], totals[1]
+    seen = rows.select("label", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("label").alias("k")).where(F.col("n") >= min_documents)
+    share, all_rows = F.col("n") / (n0 + n1), n0 + n1
+    difference = F.col("k") / n1 - (F.col("n") - F.col("k")) / n0
+    chi2 = difference * difference * (n0 * n1 / all_rows) / F.greatest(share * (1 - share), F.lit(1e-9))
+    chosen = [r["f"] for r in seen.where(chi2 >= MIN_CHI2).orderBy(chi2.desc(), "f").limit(max_features).collect()]
+    if not chosen:
         return OrdinalModel()
-    long = rows.select("doc_id", "label", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("doc_id", "label", F.col("w.words").alias("word"), F.col("w.counts").alias("n")).join(pick, "word")
-    packed = rows.select("doc_id", "label").join(long.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("f")), "doc_id", "left").toArrow().sort_by("doc_id")
-    features = [{int(i): float(np.log1p(n)) for i, n in (f or [])} for f in packed["f"].to_pylist()]
+    number = {f: i for i, f in enumerate(chosen)}
+    pick = F.broadcast(docs.sparkSession.createDataFrame(list(number.items()), "f string, i int"))  # max_features rows at most
+    long = rows.select("doc_id", F.explode(F.arrays_zip("features", "counts")).alias("w")).select("doc_id", F.col("w.features").alias("f"), F.col("w.counts").alias("n")).join(pick, "f")
+    # What comes to the driver is bounded by the sample's documents times max_features.
+    packed = rows.select("doc_id", "label").join(long.groupBy("doc_id").agg(F.collect_list("i").alias("i"), F.collect_list("n").alias("n")), "doc_id", "left").toArrow().sort_by("doc_id")
+    features = [dict(zip(i or [], np.log1p(n or []).tolist())) for i, n in zip(packed["i"].to_pylist(), packed["n"].to_pylist())]
     weights, theta = fit(features, packed["label"].to_numpy(), len(number))
-    return OrdinalModel({w: float(weights[i]) for w, i in number.items() if abs(weights[i]) > 1e-4}, tuple(theta.tolist()))
-
-
-def column_severity(text: pa.Array, model: OrdinalModel) -> np.ndarray:
-    return np.array([model.severity(x) for x in text.to_pylist()], np.float64)
+    return OrdinalModel({f: float(weights[i]) for f, i in number.items() if abs(weights[i]) > 1e-4}, tuple(theta.tolist()))
 
 
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """doc_id and severity, the expected grade."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(column_severity(batch.column("text"), model))], ["doc_id", "severity"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scorer.column(batch.column("text")))], ["doc_id", "severity"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, severity double")
 
 
 def keep_mild(docs: DataFrame, model: OrdinalModel, toxic: float = TOXIC) -> DataFrame:
     """The rows of docs below the severity toxic, all columns."""
-    return common.filter_batches(docs, lambda text: column_severity(text, model) < toxic)
+    return common.filter_batches(docs, lambda: lambda text, scorer=Scorer(model): scorer.column(text) < toxic)
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
