@@ -5,7 +5,8 @@ hash and block, dealt out by a second independent hash, and compared in Spark: o
 smallest doc_id keeps its windows. Windows that repeat merge into maximal removal intervals.
 
 A hash that a third of all documents hold costs one entry per block, not one per document. Texts of
-documents move once, for the last join; the windows travel as packed 64-bit hashes.
+documents move once, when parts of the corpus meet their repeated windows; the windows travel as
+packed 64-bit hashes in rows per bucket and part, never as a row per window.
 
 Defined results: null text has no words; a text of fewer than `width` words loses nothing; rows that
 share a doc_id count as one document (none removes the other's windows) and each gets its own row;
@@ -28,14 +29,14 @@ from pyspark.sql import functions as F
 from codalith.llm import common, words
 
 BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-#: Windows in a block, which are reduced together before the shuffle, and text bytes for each bucket of hashes.
-BLOCK_WINDOWS, BUCKET_BYTES = 1 << 21, 16 << 20
+#: Windows in a block, which are reduced together before the shuffle; text bytes for each bucket of hashes and for each part of the corpus.
+BLOCK_WINDOWS, BUCKET_BYTES, PART_BYTES = 1 << 21, 16 << 20, 8 << 20
 
-#: Column that carries a document's repeated windows.
-HASHES = "__codalith_windows"
+#: Column that says which part of the corpus a document is in.
+PART = "__codalith_part"
 
 _PACKED = pa.schema([("bucket", pa.int64()), ("doc_ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
-_REPEATS = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
+_ANSWERS = pa.schema([("part", pa.int64()), ("doc_ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
 
 
 def _by_document(docs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,13 +45,29 @@ def _by_document(docs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.nda
     return docs[begin], np.diff(np.r_[begin, len(docs)]), begin
 
 
-def _repeats(doc_ids: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Per document the packed hashes given for it."""
-    order = np.argsort(doc_ids, kind="stable")
-    doc_ids, keys = doc_ids[order], keys[order]
-    ids, counts, begin = _by_document(doc_ids, keys)
-    for d, n, at in zip(ids.tolist(), counts.tolist(), begin.tolist()):
-        yield d, keys[at : at + n].tobytes()
+def _part_of(doc_ids: np.ndarray, n_parts: int) -> np.ndarray:
+    """The part of the corpus that a document is in; the same rule as _part_column."""
+    return (doc_ids ^ (doc_ids >> 20)) % n_parts
+
+
+def _part_column(n_parts: int):
+    by_id = F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 20)), F.lit(n_parts).cast("long"))
+    return F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(n_parts).cast("long"))).otherwise(by_id)
+
+
+def _packed_runs(groups: np.ndarray, docs: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Per group: doc ids, how many keys each has, and the keys, packed."""
+    order = np.lexsort((docs, groups))
+    groups, docs, keys = groups[order], docs[order], keys[order]
+    values, counts, starts = _by_document(groups, keys)
+    for g, n, at in zip(values.tolist(), counts.tolist(), starts.tolist()):
+        ids, per_doc, _ = _by_document(docs[at : at + n], keys)
+        yield g, ids.astype(np.int64).tobytes(), per_doc.astype(np.int64).tobytes(), keys[at : at + n].tobytes()
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    docs, counts, keys = (np.frombuffer(b"".join(table[name].to_pylist()), kind) for name, kind in (("doc_ids", np.int64), ("counts", np.int64), ("hashes", np.uint64)))
+    return np.repeat(docs, counts), keys
 
 
 def _first_owner(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -61,31 +78,18 @@ def _first_owner(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, begin, np.minimum.reduceat(docs[order], begin)
 
 
-def _block_rows(docs: list, keys: list, owners: list, n_buckets: int) -> Iterator[pa.RecordBatch]:
+def _block_rows(docs: list, keys: list, owners: list, n_parts: int) -> Iterator[pa.RecordBatch]:
     doc, key, bucket = np.concatenate(docs), np.concatenate(keys), np.concatenate(owners)
     if not len(key):
         return
     order, begin, least = _first_owner(key, doc)
     local = doc[order] != np.repeat(least, np.diff(np.r_[begin, len(order)]))
-    rows: dict[str, list] = {"bucket": [], "doc_ids": [], "counts": [], "hashes": []}
-    for d, packed in _repeats(doc[order][local], key[order][local]):
-        rows["bucket"].append(-1 - d % n_buckets)  # an answer already, not a question
-        rows["doc_ids"].append(np.int64(d).tobytes())
-        rows["counts"].append(np.int64(len(packed) // 8).tobytes())
-        rows["hashes"].append(packed)
+    local_docs = doc[order][local]
+    answers = -1 - _part_of(local_docs, n_parts)  # negative: an answer already, not a question
     one = order[begin]
-    bucket = bucket[one]
-    by = np.lexsort((least, bucket))
-    bucket, least, key = bucket[by], least[by], key[one][by]
-    values, counts, starts = _by_document(bucket, key)
-    for b, n, at in zip(values.tolist(), counts.tolist(), starts.tolist()):
-        ids, per_doc, _ = _by_document(least[at : at + n], key)
-        rows["bucket"].append(b)
-        rows["doc_ids"].append(ids.astype(np.int64).tobytes())
-        rows["counts"].append(per_doc.astype(np.int64).tobytes())
-        rows["hashes"].append(key[at : at + n].tobytes())
-    for at in range(0, len(rows["bucket"]), 1000):
-        yield pa.RecordBatch.from_pydict({k: v[at : at + 1000] for k, v in rows.items()}, schema=_PACKED)
+    rows = [*_packed_runs(answers, local_docs, key[order][local]), *_packed_runs(bucket[one], least, key[one])]
+    for at in range(0, len(rows), 1000):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + 1000]), _PACKED)], schema=_PACKED)
 
 
 def _document_windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,7 +99,7 @@ def _document_windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tupl
     return first, words.hashes(data, starts, ends), at, n_windows
 
 
-def _sender(width: int, n_buckets: int):
+def _sender(width: int, n_buckets: int, n_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list = []
         keys: list = []
@@ -114,61 +118,61 @@ def _sender(width: int, n_buckets: int):
                 buckets.append((other % np.uint64(n_buckets)).astype(np.int64))
                 held += len(at)
                 if held >= BLOCK_WINDOWS:
-                    yield from _block_rows(docs, keys, buckets, n_buckets)
+                    yield from _block_rows(docs, keys, buckets, n_parts)
                     docs, keys, buckets, held = [], [], [], 0
         if held:
-            yield from _block_rows(docs, keys, buckets, n_buckets)
+            yield from _block_rows(docs, keys, buckets, n_parts)
 
     return run
 
 
-def _receiver(group: pa.Table) -> pa.Table:
-    """Of one bucket: the windows whose hash also stands for a smaller doc_id."""
-    docs = np.frombuffer(b"".join(group["doc_ids"].to_pylist()), np.int64)
-    counts = np.frombuffer(b"".join(group["counts"].to_pylist()), np.int64)
-    keys = np.frombuffer(b"".join(group["hashes"].to_pylist()), np.uint64)
-    docs = np.repeat(docs, counts)
-    if group["bucket"][0].as_py() >= 0:
-        order, begin, least = _first_owner(keys, docs)
-        later = docs[order] != np.repeat(least, np.diff(np.r_[begin, len(order)]))
-        docs, keys = docs[order][later], keys[order][later]
-    found = list(_repeats(docs, keys))
-    return pa.table({"doc_id": pa.array([d for d, _ in found], pa.int64()), "hashes": pa.array([x for _, x in found], pa.binary())}, schema=_REPEATS)
-
-
-def repeated_windows(docs: DataFrame, width: int = 13, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, hashes): packed hashes of windows that also start in a document of smaller doc_id; staged."""
-    known = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    n_bytes = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = max(8, math.ceil(n_bytes / bucket_bytes))
-    sent = known.mapInArrow(_sender(width, n_buckets), "bucket long, doc_ids binary, counts binary, hashes binary")
-    found = sent.groupBy("bucket").applyInArrow(_receiver, "doc_id long, hashes binary")
+def _receiver(n_parts: int):
+    """Of one bucket: the windows whose hash also stands for a smaller doc_id, by parts of the corpus."""
+
+    def run(group: pa.Table) -> pa.Table:
+        docs, keys = _unpacked(group)
+        if group["bucket"][0].as_py() >= 0:
+            order, begin, least = _first_owner(keys, docs)
+            later = docs[order] != np.repeat(least, np.diff(np.r_[begin, len(order)]))
+            docs, keys = docs[order][later], keys[order][later]
+        rows = list(_packed_runs(_part_of(docs, n_parts), docs, keys))
+        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ANSWERS)], schema=_ANSWERS)
+
+    return run
+
+
+def repeated_windows(docs: DataFrame, width: int, n_buckets: int, n_parts: int) -> DataFrame:
+    """Packed hashes of windows that also start in a document of smaller doc_id, by parts of the corpus; staged."""
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    sent = known.mapInArrow(_sender(width, n_buckets, n_parts), "bucket long, doc_ids binary, counts binary, hashes binary")
+    found = sent.groupBy("bucket").applyInArrow(_receiver(n_parts), "part long, doc_ids binary, counts binary, hashes binary")
     return common.stage_table(found, "windows")
 
 
-def _removed(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, packed: list[bytes], width: int) -> np.ndarray:
+def _removed(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, own: np.ndarray, width: int) -> np.ndarray:
     """Which words of one document lie in a repeated window."""
-    own = np.concatenate([np.frombuffer(x, np.uint64) for x in packed])
     h = words.hashes(part, starts, ends)
     return words.covered(np.flatnonzero(np.isin(words.mix(words.rolling(h, width, BASE)), own)), width, len(starts))
 
 
-def _documents(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
+def _documents(docs: pa.Table, answers: pa.Table, width: int) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
     """Per row: words, words removed, the removed intervals as edges of word numbers, and the text that stays.
 
     A removed word takes the white space behind it along.
     """
-    data, offsets = common.utf8(batch.column("text"))
-    repeats = batch.column(HASHES)
+    data, offsets = common.utf8(docs["text"])
+    owner, keys = _unpacked(answers)
+    order = np.argsort(owner, kind="stable")
+    owner, keys = owner[order], keys[order]
+    ids = docs["doc_id"].cast(pa.int64()).to_pylist()
     for i, j in common.chunks(offsets):
         part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words.bounds(part, local)
         for k in range(i, j):
             a, b = int(first[k - i]), int(first[k - i + 1])
             raw = part[local[k - i] : local[k - i + 1]]
-            gone = np.zeros(b - a, bool)
-            if b - a >= width and repeats[k].is_valid:
-                gone = _removed(part, starts[a:b], ends[a:b], repeats[k].as_py(), width)
+            low, high = np.searchsorted(owner, [ids[k], ids[k] + 1]) if ids[k] is not None else (0, 0)
+            gone = _removed(part, starts[a:b], ends[a:b], keys[low:high], width) if high > low and b - a >= width else np.zeros(b - a, bool)
             edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
             if not len(edges):
                 yield b - a, 0, edges, raw.tobytes()
@@ -186,43 +190,44 @@ _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_remove
 def _report(width: int, with_text: bool):
     schema = _RESULT if with_text else pa.schema(list(_RESULT)[:-1])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(n, gone, hashlib.sha256(b" ".join(kept.split())).hexdigest(), [{"first": int(x), "last": int(y) - 1} for x, y in zip(edges[::2], edges[1::2])], kept if with_text else None) for n, gone, edges, kept in _documents(batch, width)]
-            columns = [batch.column("doc_id").cast(pa.int64())]
-            for k, field in enumerate(list(schema)[1:]):
-                values = [r[k] for r in rows]
-                columns.append(pa.array(values, pa.binary()).cast(pa.string()) if field.name == "kept_text" else pa.array(values, field.type))
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = [(n, gone, hashlib.sha256(b" ".join(kept.split())).hexdigest(), [{"first": int(x), "last": int(y) - 1} for x, y in zip(edges[::2], edges[1::2])], kept if with_text else None) for n, gone, edges, kept in _documents(docs, answers, width)]
+        columns = [docs["doc_id"].cast(pa.int64()).combine_chunks()]
+        for k, field in enumerate(list(schema)[1:]):
+            values = [r[k] for r in rows]
+            columns.append(pa.array(values, pa.binary()).cast(pa.string()) if field.name == "kept_text" else pa.array(values, field.type))
+        return pa.Table.from_arrays(columns, schema=schema)
 
     return run
 
 
 def _rewrite(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(gone, kept) for _, gone, _, kept in _documents(batch, width)]
-            changed = pa.array([gone > 0 for gone, _ in rows], pa.bool_())
-            text = pc.if_else(changed, pa.array([kept for _, kept in rows], pa.binary()).cast(batch.column("text").type), batch.column("text"))
-            names = [n for n in batch.schema.names if n != HASHES]
-            out = {n: batch.column(n) for n in names} | {"text": text}
-            if "n_chars" in out:
-                out["n_chars"] = pc.if_else(changed, pc.utf8_length(text).cast(out["n_chars"].type), out["n_chars"])
-            yield pa.RecordBatch.from_arrays([out[n] for n in names], names)
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = [(gone, kept) for _, gone, _, kept in _documents(docs, answers, width)]
+        changed = pa.array([gone > 0 for gone, _ in rows], pa.bool_())
+        text = pc.if_else(changed, pa.array([kept for _, kept in rows], pa.binary()).cast(docs["text"].type), docs["text"])
+        names = [n for n in docs.schema.names if n != PART]
+        out = {n: docs[n] for n in names} | {"text": text}
+        if "n_chars" in out:
+            out["n_chars"] = pc.if_else(changed, pc.utf8_length(text).cast(out["n_chars"].type), out["n_chars"])
+        return pa.Table.from_arrays([out[n] for n in names], names)
 
     return run
 
 
-def _with_hashes(docs: DataFrame, width: int) -> DataFrame:
-    found = repeated_windows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), width)
+def _apply(docs: DataFrame, width: int, function, schema) -> DataFrame:
+    """Finds the repeated windows of docs and applies them to each part of it."""
+    n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    n_parts = max(8, math.ceil(n_bytes / PART_BYTES)) | 1
+    found = repeated_windows(docs, width, max(8, math.ceil(n_bytes / BUCKET_BYTES)), n_parts)
     common.release_shuffles(docs.sparkSession)
-    per_doc = found.groupBy(F.col("doc_id").alias(HASHES + "id")).agg(F.collect_list("hashes").alias(HASHES))
-    return docs.join(per_doc, docs["doc_id"] == per_doc[HASHES + "id"], "left").drop(HASHES + "id")
+    left = docs.withColumn(PART, _part_column(n_parts))
+    return left.groupBy(PART).cogroup(found.groupBy("part")).applyInArrow(function, schema)
 
 
 def remove_substrings(docs: DataFrame, width: int = 13) -> DataFrame:
     """docs, all columns, with the repeated words cut out of text, and n_chars (if there) that of the new text."""
-    return _with_hashes(docs, width).mapInArrow(_rewrite(width), docs.schema)
+    return _apply(docs, width, _rewrite(width), docs.schema)
 
 
 def dedup_substrings(docs: DataFrame, width: int = 13, with_text: bool = True) -> DataFrame:
@@ -232,7 +237,7 @@ def dedup_substrings(docs: DataFrame, width: int = 13, with_text: bool = True) -
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, last: long>>" + ", kept_text string" * with_text
-    return _with_hashes(plain, width).mapInArrow(_report(width, with_text), ddl)
+    return _apply(plain, width, _report(width, with_text), ddl)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
