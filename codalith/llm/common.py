@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import weakref
 from collections.abc import Iterator
@@ -42,8 +43,10 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
 
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner delete the shuffle files of finished phases; staged tables stay."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # the first round frees what the second collects
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
