@@ -30,7 +30,9 @@ from codalith.llm import common, words
 
 BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 #: Windows in a block, which are reduced together before the shuffle; text bytes for each bucket of hashes and for each part of the corpus.
-BLOCK_WINDOWS, BUCKET_BYTES, PART_BYTES = 1 << 21, 16 << 20, 8 << 20
+BLOCK_WINDOWS, BUCKET_BYTES, PART_BYTES = 1 << 20, 6 << 20, 6 << 20
+#: Packed rows that go to the JVM at once.
+ROWS_AT_ONCE = 32
 
 #: Column that says which part of the corpus a document is in.
 PART = "__codalith_part"
@@ -80,6 +82,8 @@ def _first_owner(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _block_rows(docs: list, keys: list, owners: list, n_parts: int) -> Iterator[pa.RecordBatch]:
     doc, key, bucket = np.concatenate(docs), np.concatenate(keys), np.concatenate(owners)
+    for pieces in (docs, keys, owners):
+        pieces.clear()
     if not len(key):
         return
     order, begin, least = _first_owner(key, doc)
@@ -88,8 +92,8 @@ def _block_rows(docs: list, keys: list, owners: list, n_parts: int) -> Iterator[
     answers = -1 - _part_of(local_docs, n_parts)  # negative: an answer already, not a question
     one = order[begin]
     rows = [*_packed_runs(answers, local_docs, key[order][local]), *_packed_runs(bucket[one], least, key[one])]
-    for at in range(0, len(rows), 1000):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + 1000]), _PACKED)], schema=_PACKED)
+    for at in range(0, len(rows), ROWS_AT_ONCE):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + ROWS_AT_ONCE]), _PACKED)], schema=_PACKED)
 
 
 def _document_windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,7 +123,7 @@ def _sender(width: int, n_buckets: int, n_parts: int):
                 held += len(at)
                 if held >= BLOCK_WINDOWS:
                     yield from _block_rows(docs, keys, buckets, n_parts)
-                    docs, keys, buckets, held = [], [], [], 0
+                    held = 0
         if held:
             yield from _block_rows(docs, keys, buckets, n_parts)
 
