@@ -140,10 +140,10 @@ def _at_most(counts: np.ndarray, limit: int) -> int:
     return int(left[-1]) + 1 if len(left) else 0
 
 
-def _two_for(counts: np.ndarray, gap: int, better_than: int) -> tuple[int, int] | None:
-    """Two lengths left whose sum is at most gap, as large as can be, and larger than better_than."""
+def _two_for(counts: np.ndarray, gap: int, better_than: int, least: int) -> tuple[int, int] | None:
+    """Two lengths left, of least or more, whose sum is at most gap, as large as can be, and larger than better_than."""
     lengths = np.flatnonzero(counts[: gap + 1])
-    lengths = lengths[lengths > 0]
+    lengths = lengths[lengths >= max(1, least)]
     if not len(lengths):
         return None
     partner = np.searchsorted(lengths, gap - lengths, side="right") - 1
@@ -156,11 +156,7 @@ def _two_for(counts: np.ndarray, gap: int, better_than: int) -> tuple[int, int]
     return (int(a[best]), int(b[best])) if best >= 0 and total[best] > better_than else None
 
 
-def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of one sequence, number of such sequences), for counts of each length."""
-    counts = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        counts[length] = n
+def _plan(counts: np.ndarray, capacity: int, least: int) -> list[tuple[tuple[int, ...], int]]:
     plan: list[tuple[tuple[int, ...], int]] = []
     while True:
         first = _at_most(counts, capacity)
@@ -175,11 +171,12 @@ def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
             gap -= nxt
         if gap and len(used) > 1:
             smallest = used[-1]
-            pair = _two_for(counts, gap + smallest, smallest)
+            pair = _two_for(counts, gap + smallest, smallest, least)
             if pair:
                 used[-1:] = pair
                 counts[smallest] += 1
-                counts[list(pair)] -= 1 if pair[0] != pair[1] else 2
+                for x in pair:
+                    counts[x] -= 1
         need = {x: used.count(x) for x in used}
         more = min(int(counts[x]) // k for x, k in need.items())
         for x, k in need.items():
@@ -187,6 +184,19 @@ def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
         plan.append((tuple(sorted(used, reverse=True)), 1 + more))
 
 
+def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of one sequence, number of such sequences), for counts of each length.
+
+    Short documents that complete one sequence are missing in others, so the replacing pair is sought
+    among all lengths, among those of a sixth of the capacity or more, and not at all; the plan with
+    the fewest sequences is taken, the first of equals.
+    """
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        counts[length] = n
+    return min((_plan(counts.copy(), capacity, least) for least in (1, capacity // 6, capacity + 1)), key=lambda plan: sum(n for _, n in plan))
+
+
 def _slots(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, last rank + 1, first sequence, offset) for every slot of every pattern."""
     used: dict[int, int] = {}
