@@ -89,7 +89,7 @@ LONGEST_ITEM = 80
 
 def list_items(response) -> Column:
     """Items of a bulleted or numbered answer: no introductions, no long lines, no bullets or numbers."""
-    lines = F.transform(F.split(F.trim(_col(response)), "\n"), F.trim)
+    lines = F.transform(F.split(F.trim(_col(response)), "\n"), lambda x: F.trim(x))
     intro = "(?iu)" + "|".join(LIST_INTRODUCTIONS)
     kept = F.filter(lines, lambda x: (F.length(x) > 0) & (F.length(x) <= LONGEST_ITEM) & ~F.regexp_like(x, F.lit(intro)))
     bare = F.transform(kept, lambda x: F.regexp_replace(x, "^(- |• |\\* |– )", ""))
