@@ -20,13 +20,13 @@ def segments(code) -> Column:
 def depth(code) -> Column:
     """Number of segments; null for null or empty codes."""
     c = _col(code)
-    return F.when(F.length(c) > 0, F.size(segments(c)))
+    return F.when(F.length(c) > 0, F.length(c) - F.length(F.replace(c, F.lit("."), F.lit(""))) + 1)
 
 
 def truncate_code(code, level: int) -> Column:
     """The first level segments; shallower codes as they are; null for null or empty."""
     c = _col(code)
-    return F.when(F.length(c) > 0, F.array_join(F.slice(segments(c), 1, level), "."))
+    return F.when(F.length(c) > 0, F.substring_index(c, ".", level))
 
 
 def at_level(code, level: int) -> Column:

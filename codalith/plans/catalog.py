@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codalith.functions import codes, text
-from codalith.operators import decision, hierarchy, ingest, metrics, rules, similarity, training, vectors
+from codalith.operators import classifiers, decision, documents, hierarchy, ingest, metrics, rules, similarity, training, vectors
 from codalith.plans.observations import CTE, observations
 from codalith.sources import readers
 
@@ -492,3 +492,108 @@ def cosine_neighbours(spark, d):
 @query()
 def page_texts(spark, d):
     return readers.page_texts(spark.read.parquet(f"{d}/pages.parquet"))
+
+
+# ---- documents and prompts
+
+
+def _notices(spark, d) -> DataFrame:
+    return _tree(spark, d).select("code", F.concat(F.lit("label of "), "code").alias("label"))
+
+
+_NOTICES = _TREE + ", notices AS (SELECT code, 'label of ' || code AS label FROM tree)"
+
+
+@query(_NOTICES + f", up AS (SELECT n.code, i, {_cut('n.code', 'i')} AS above FROM (SELECT code, unnest(range(1, {_depth('code')})) AS i FROM notices) n) SELECT n.code, CASE WHEN {_depth('n.code')} = 1 THEN NULL ELSE (SELECT string_agg('label of ' || above, ' > ' ORDER BY i) FROM up WHERE up.code = n.code) END AS path FROM notices n")
+def ancestor_label_paths(spark, d):
+    return documents.ancestor_paths(_notices(spark, d)).select("code", "path")
+
+
+@query(_NOTICES + " SELECT code, code || ' - ' || label || chr(10) || chr(10) || 'Contains: things' AS text FROM notices")
+def notice_documents(spark, d):
+    rows = _notices(spark, d).withColumns({"content": F.lit("things"), "exclusions": F.lit(""), "path": F.lit(None).cast("string")})
+    return rows.select("code", documents.notice_text("with_exclusions").alias("text"))
+
+
+@query(_NOTICES + " SELECT string_agg(code || ' — ' || label, chr(10) ORDER BY code) AS block FROM notices")
+def nomenclature_text(spark, d):
+    return documents.nomenclature_block(_notices(spark, d))
+
+
+@query(_NOTICES + f", p AS (SELECT id, unnest([predicted, lcs_code, rag_code]) AS c FROM obs WHERE num % 7 = 0), q AS (SELECT id, c FROM p WHERE c IS NOT NULL), near AS (SELECT DISTINCT id, code FROM q JOIN notices ON {_cut('c', 1)} = {_cut('code', 1)} AND ({_depth('code')} <= 2 OR ({_depth('c')} >= 2 AND starts_with(code, {_cut('c', 2)})))) SELECT id, code FROM near UNION ALL SELECT o.id, notices.code FROM obs o, notices WHERE num % 7 = 0 AND predicted IS NULL AND lcs_code IS NULL AND rag_code IS NULL")
+def relevant_nomenclature(spark, d):
+    return documents.relevant_codes(observations(spark, d).where("num % 7 = 0"), _notices(spark, d), ["predicted", "lcs_code", "rag_code"])
+
+
+@query(CTE + " SELECT id, md5('Product: ' || label || CASE WHEN length(shop) > 0 THEN chr(10) || 'Shop: ' || shop ELSE '' END || CASE WHEN coalesce(budget, 0) <> 0 THEN chr(10) || 'Price: ' || printf('%.2f', budget) || ' euros' ELSE '' END || chr(10) || 'Candidates: ' || top3) AS prompt_md5 FROM obs WHERE label IS NOT NULL AND top3 IS NOT NULL")
+def judge_prompts(spark, d):
+    rows = observations(spark, d).where("label IS NOT NULL AND top3 IS NOT NULL").withColumn("candidates", F.array("top3"))
+    return rows.select("id", F.md5(documents.judge_prompt("label", "shop", "budget", "candidates")).alias("prompt_md5"))
+
+
+@query(CTE + " SELECT id, code AS first, CASE WHEN num % 2 = 0 THEN top3 END AS second, CAST(NULL AS VARCHAR) AS third FROM obs WHERE code IS NOT NULL AND top3 IS NOT NULL")
+def aligned_list_answers(spark, d):
+    rows = observations(spark, d).where("code IS NOT NULL AND top3 IS NOT NULL")
+    listed = F.when(F.col("num") % 2 == 0, F.to_json(F.array("code", "top3"))).otherwise(F.to_json(F.array("code")))
+    answer = F.concat(F.lit("```json\n"), listed, F.lit("\n```"))
+    return rows.select("id", documents.aligned_codes(answer, 3).alias("c")).select("id", F.col("c")[0].alias("first"), F.col("c")[1].alias("second"), F.col("c")[2].alias("third"))
+
+
+# ---- more reports
+
+
+@query(CTE + " SELECT code, count(*) AS n, round(100.0 * count(*) FILTER (WHERE code = predicted) / count(*), 0) AS percent_right FROM obs WHERE code IS NOT NULL GROUP BY code HAVING (200 * count(*) FILTER (WHERE code = predicted)) % count(*) <> 0 OR (200 * count(*) FILTER (WHERE code = predicted)) // count(*) % 2 = 0")
+def percent_right_by_code(spark, d):
+    hits, n = F.count_if(F.col("code") == F.col("predicted")), F.count("*")
+    rates = observations(spark, d).where("code IS NOT NULL").groupBy("code").agg(n.alias("n"), hits.alias("h"))
+    exact_half = ((200 * F.col("h")) % F.col("n") == 0) & ((200 * F.col("h") / F.col("n")).cast("long") % 2 == 1)
+    return rates.where(~exact_half).select("code", "n", F.bround(100.0 * F.col("h") / F.col("n"), 0).alias("percent_right"))
+
+
+@query(CTE + f", e AS (SELECT {_cut('code', 1)} AS level1, {_SEVERITY} AS severity, confidence, source, code, predicted FROM obs WHERE NOT (starts_with(code, '98') OR starts_with(code, '99'))) SELECT level1, count(*) AS n, round(avg(confidence), 6) AS mean_confidence FROM e WHERE severity IN ('far-miss', 'near-miss') AND confidence BETWEEN 0.2 AND 0.9 AND source IN ('F', 'O') AND code LIKE '0%' GROUP BY level1")
+def filtered_error_panel(spark, d):
+    rows = observations(spark, d).where(~codes.is_technical("code")).withColumn("severity", codes.severity("code", "predicted"))
+    kept = rows.where(F.col("severity").isin("far-miss", "near-miss") & F.col("confidence").between(0.2, 0.9) & F.col("source").isin("F", "O") & F.col("code").like("0%"))
+    return _rounded(kept.groupBy(codes.truncate_code("code", 1).alias("level1")).agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence")), "mean_confidence")
+
+
+@query(CTE + " SELECT coalesce(shop_type, 'N/A') AS shop_type, CASE WHEN label IS NULL THEN -1 ELSE CAST(least(floor(length(label) / 10), 3) AS INTEGER) END AS length_class, count(*) AS n, round(avg(confidence), 6) AS mean_confidence, round(avg(CASE WHEN code = predicted THEN 0.0 ELSE 1.0 END), 6) AS error_rate FROM obs GROUP BY 1, 2")
+def errors_by_label_length(spark, d):
+    rows = observations(spark, d).groupBy(F.coalesce("shop_type", F.lit("N/A")).alias("shop_type"), F.when(F.col("label").isNull(), F.lit(-1)).otherwise(F.least(F.floor(F.length("label") / 10), F.lit(3))).cast("int").alias("length_class"))
+    wrong = F.avg(F.when(F.col("code") == F.col("predicted"), 0.0).otherwise(1.0))
+    return _rounded(rows.agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"), wrong.alias("error_rate")), "mean_confidence", "error_rate")
+
+
+_THRESHOLDS = CTE + f", s AS (SELECT code, confidence, {_prefix_sql('code', 'predicted')} = code AS ok FROM obs), t AS (SELECT unnest(range(0, 100)) / 100.0 AS threshold)"
+
+
+@query(_THRESHOLDS + " SELECT CAST(threshold AS DOUBLE) AS threshold, CAST(count(*) FILTER (WHERE confidence >= threshold AND ok) AS BIGINT) AS n_right, CAST(count(*) FILTER (WHERE confidence >= threshold AND NOT coalesce(ok, false)) AS BIGINT) AS n_wrong FROM s, t GROUP BY threshold")
+def threshold_sweep(spark, d):
+    ok = F.coalesce(codes.common_prefix("code", "predicted") == F.col("code"), F.lit(False))
+    by_value = observations(spark, d).groupBy("confidence").agg(F.count_if(ok).alias("r"), F.count_if(~ok).alias("w"))
+    each = by_value.select("*", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i")).withColumn("threshold", F.col("i") / 100)
+    above = lambda c: F.sum(F.when(F.col("confidence") >= F.col("threshold"), F.col(c)).otherwise(0))
+    return each.groupBy("threshold").agg(above("r").alias("n_right"), above("w").alias("n_wrong"))
+
+
+@query(CTE + ", m AS (SELECT id, 'predicted' AS method, predicted AS code FROM obs UNION ALL SELECT id, 'lcs_code', lcs_code FROM obs UNION ALL SELECT id, 'rag_code', rag_code FROM obs) SELECT method, count(*) AS n, count(code) AS n_known, count(DISTINCT code) AS n_codes FROM m GROUP BY method")
+def methods_long_form(spark, d):
+    long = observations(spark, d).unpivot("id", ["predicted", "lcs_code", "rag_code"], "method", "code")
+    return long.groupBy("method").agg(F.count("*").alias("n"), F.count("code").alias("n_known"), F.count_distinct("code").alias("n_codes"))
+
+
+# ---- classifiers: trained models, so their rows alone are checked here and their accuracy in the tests
+
+
+@query()
+def flat_classifier(spark, d):
+    rows = observations(spark, d).where("label IS NOT NULL").withColumn("target", rules.rule_code("label"))
+    model = classifiers.fit_flat(training.split(rows, "id").where("part = 'train'"), classifiers.char_ngrams("label"), "target")
+    return model.predict(rows.select("id", "label"), classifiers.char_ngrams("label"), 3).select("id", F.posexplode("predictions").alias("rank", "p")).select("id", "rank", "p.code", "p.confidence")
+
+
+@query()
+def cascade_classifier(spark, d):
+    rows = observations(spark, d).where("label IS NOT NULL").withColumn("target", rules.rule_code("label"))
+    model = classifiers.fit_cascade(training.split(rows, "id").where("part = 'train'"), "label", "target", 3)
+    return model.predict(rows.select("id", "label"), 0.3).select("id", F.col("code"), "level", "confidence")
