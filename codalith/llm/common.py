@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a vectorised step handles at once; one longer document goes alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+#: Most bytes and rows of an Arrow batch between the JVM and Python; long texts would make batches of any size otherwise.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
 
 
 _OWN_DIRS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
@@ -49,12 +52,21 @@ def release_shuffles(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches, unless they are bounded more tightly already."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        now = re.match(r"-?\d+", str(spark.conf.get(key)))
+        if not now or not 0 < int(now[0]) <= most:
+            spark.conf.set(key, str(most))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only what text operators need, so the scan reads two columns."""
+    small_batches(spark)
     return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
@@ -90,6 +102,8 @@ def texts(column: pa.Array) -> list[bytes]:
 def filter_batches(docs: DataFrame, keeps) -> DataFrame:
     """The rows of docs, all columns, that keeps()(text column) marks; keeps() is called once a task."""
 
+    small_batches(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = keeps()
         for batch in batches:

@@ -30,7 +30,7 @@ from codalith.llm import common, words
 
 CAPACITY, END_ID = 2048, 0
 #: Entries of a worker's word cache, bytes of text in a tokenizing step, pieces in a numbering bucket.
-CACHE_ENTRIES, STEP_BYTES, BUCKET_PIECES = 1_000_000, 4 << 20, 50_000
+CACHE_ENTRIES, STEP_BYTES, BUCKET_PIECES = 1_000_000, 2 << 20, 50_000
 
 _MARKS = ".,!?;:"
 
@@ -129,6 +129,7 @@ def _pieces(path: str, capacity: int, end_id: int):
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's ids with end_id behind them."""
+    common.small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_pieces(tokenizer_path, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

@@ -89,6 +89,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint's 64 bits as a signed long."""
+    common.small_batches(docs.sparkSession)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
 

@@ -221,6 +221,7 @@ def _rewrite(width: int):
 
 def _apply(docs: DataFrame, width: int, function, schema) -> DataFrame:
     """Finds the repeated windows of docs and applies them to each part of it."""
+    common.small_batches(docs.sparkSession)
     n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n_parts = max(8, math.ceil(n_bytes / PART_BYTES)) | 1
     found = repeated_windows(docs, width, max(8, math.ceil(n_bytes / BUCKET_BYTES)), n_parts)
