@@ -47,20 +47,27 @@ def nomenclature_block(notices: DataFrame, filter_by: Column | None = None) -> D
 
 
 def relevant_codes(observations: DataFrame, notices: DataFrame, predictions: list[str], key: str = "id") -> DataFrame:
-    """(key, code): for each observation levels 1 and 2 of the branches predicted, and what begins with a predicted level 2.
+    """(key, codes): for each observation levels 1 and 2 of the branches predicted, and what begins with a predicted level 2.
 
-    Without any prediction the observation gets the whole list, as one array of codes, so no row is
-    tested against notices of other branches.
+    Observations with the same predictions share one list, which is made once, by equi-joins alone: on
+    level 1 for the shallow codes, on the beginnings of level 2 for the deeper ones. Without any
+    prediction the list is the whole nomenclature. A nomenclature is a bounded list, so are these.
     """
-    predicted = observations.select(key, F.array_distinct(F.array_compact(F.array(*predictions))).alias("p"))
-    branches = predicted.select(key, F.explode(F.array_distinct(F.transform("p", lambda c: truncate_code(c, 1)))).alias("l1"), "p")
-    by_branch = notices.select("code", truncate_code("code", 1).alias("l1"))
-    near = branches.join(by_branch, "l1")
-    second = F.exists("p", lambda c: F.startswith(F.col("code"), truncate_code(c, 2)) & (depth(c) >= 2))
-    chosen = near.where((depth("code") <= 2) | second).select(key, "code").distinct()
-    whole = notices.agg(F.collect_list("code").alias("codes"))  # one row: a nomenclature is a bounded list
-    bare = predicted.where(F.size("p") == 0).select(key)
-    return chosen.union(bare.join(F.broadcast(whole)).select(key, F.explode("codes").alias("code")))
+    known = F.array_distinct(F.array_compact(F.array(*predictions)))
+    own = observations.select(key, F.array_sort(known).alias("p"))
+    sets = own.select("p").where(F.size("p") > 0).distinct()
+    branches = sets.select("p", F.explode(F.array_distinct(F.transform("p", lambda c: truncate_code(c, 1)))).alias("at"))
+    seconds = F.filter("p", lambda c: depth(c) >= 2)
+    twigs = sets.select("p", F.explode(F.array_distinct(F.transform(seconds, lambda c: truncate_code(c, 2)))).alias("at"))
+    second = truncate_code("code", 2)
+    shortest = F.length(truncate_code("code", 1)) + 2
+    beginnings = F.transform(F.sequence(shortest, F.length(second)), lambda n: F.substring(second, F.lit(1), n))
+    shallow = notices.where(depth("code") <= 2).select("code", truncate_code("code", 1).alias("at"))
+    deep = notices.where(depth("code") > 2).select("code", F.explode(beginnings).alias("at"))
+    near = branches.join(shallow, "at").union(twigs.join(deep, "at")).select("p", "code")
+    lists = near.groupBy("p").agg(F.array_sort(F.collect_set("code")).alias("listed"))
+    whole = notices.agg(F.array_sort(F.collect_set("code")).alias("whole"))  # one row
+    return own.join(lists, "p", "left").join(F.broadcast(whole)).select(key, F.when(F.size("p") == 0, F.col("whole")).otherwise(F.coalesce("listed", F.array().cast("array<string>"))).alias("codes"))
 
 
 def judge_prompt(label: str, shop: str, budget: str, candidates: str) -> Column:

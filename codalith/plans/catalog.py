@@ -199,11 +199,11 @@ def filtered_counts(spark, d):
 # ---- similarity
 
 
-def _names(spark, d, odd: int, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/part.parquet").where(F.col("p_partkey") % 2 == odd).select(F.col("p_name").alias(name)).distinct()
+def _names(spark, d, column: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/part.parquet").select(F.col(column).alias(name)).distinct()
 
 
-_LCS_CTE = """WITH a AS (SELECT DISTINCT p_name AS s1 FROM part WHERE p_partkey % 2 = 0), b AS (SELECT DISTINCT p_name || ' x' AS s2 FROM part WHERE p_partkey % 2 = 1),
+_LCS_CTE = """WITH a AS (SELECT DISTINCT p_name AS s1 FROM part), b AS (SELECT DISTINCT p_name || ' x' AS s2 FROM part),
 p AS (SELECT s1, s2 FROM a, b WHERE s1 <> s2),
 m AS (SELECT s1, s2, i, max(n) AS size FROM (SELECT s1, s2, i, unnest(range(1, length(s1) - i + 2)) AS n FROM (SELECT s1, s2, unnest(range(1, length(s1) + 1)) AS i FROM p)) WHERE contains(upper(s2), upper(substr(s1, i, n))) GROUP BY ALL),
 t AS (SELECT s1, s2, max(size) AS size, min_by(i, (-size) * 1000 + i) AS i FROM m GROUP BY s1, s2),
@@ -211,8 +211,8 @@ pairs AS (SELECT s1, s2, round(1 - CAST(size AS DOUBLE) / greatest(length(s1), l
 
 
 def _pairs(spark, d) -> DataFrame:
-    marked = _names(spark, d, 1, "s2").select(F.concat("s2", F.lit(" x")).alias("s2"))
-    return similarity.similar_pairs(_names(spark, d, 0, "s1"), marked)
+    marked = _names(spark, d, "p_name", "s2").select(F.concat("s2", F.lit(" x")).alias("s2"))
+    return similarity.similar_pairs(_names(spark, d, "p_name", "s1"), marked)
 
 
 @query(_LCS_CTE + " SELECT * FROM pairs")
@@ -230,18 +230,20 @@ def nearest_reference_ties(spark, d):
     return similarity.nearest_ties(_pairs(spark, d)).select("s1", "s2", "n_ties")
 
 
-@query("SELECT DISTINCT p_name AS s1, p_name AS s2, 0.0::DOUBLE AS distance FROM part WHERE p_partkey % 2 = 0 AND p_name IN (SELECT p_name FROM part WHERE p_partkey % 2 = 1)")
+@query("SELECT s1, s1 AS s2, 0.0::DOUBLE AS distance FROM (SELECT p_name AS s1 FROM part UNION SELECT p_type FROM part) WHERE length(s1) > 0 AND s1 IN (SELECT p_type FROM part UNION SELECT p_brand FROM part)")
 def exact_label_matches(spark, d):
-    return similarity.exact_pairs(_names(spark, d, 0, "s1"), _names(spark, d, 1, "s2")).select("s1", "s2", "distance")
+    labels = _names(spark, d, "p_name", "s1").union(_names(spark, d, "p_type", "s1"))
+    references = _names(spark, d, "p_type", "s2").union(_names(spark, d, "p_brand", "s2"))
+    return similarity.exact_pairs(labels, references).select("s1", "s2", "distance")
 
 
 # ---- hierarchy
 
-_TREE = CTE + f", e AS (SELECT DISTINCT code, {_depth('code')} AS d FROM obs WHERE code IS NOT NULL AND num % 11 < 2), tree AS (SELECT DISTINCT {_cut('code', 'i')} AS code FROM (SELECT code, unnest(range(1, d + 1)) AS i FROM e))"
+_TREE = CTE + f", e AS (SELECT DISTINCT code, {_depth('code')} AS d FROM obs WHERE code IS NOT NULL), tree AS (SELECT DISTINCT {_cut('code', 'i')} AS code FROM (SELECT code, unnest(range(1, d + 1)) AS i FROM e))"
 
 
 def _tree(spark, d) -> DataFrame:
-    return hierarchy.with_ancestors(observations(spark, d).where("num % 11 < 2"))
+    return hierarchy.with_ancestors(observations(spark, d))
 
 
 _KIDS = f", kids AS (SELECT t.code, count(c.code) AS n_children FROM tree t LEFT JOIN tree c ON {_depth('c.code')} = {_depth('t.code')} + 1 AND starts_with(c.code, t.code || '.') GROUP BY t.code)"
@@ -520,9 +522,10 @@ def nomenclature_text(spark, d):
     return documents.nomenclature_block(_notices(spark, d))
 
 
-@query(_NOTICES + f", p AS (SELECT id, unnest([predicted, lcs_code, rag_code]) AS c FROM obs WHERE num % 7 = 0), q AS (SELECT id, c FROM p WHERE c IS NOT NULL), near AS (SELECT DISTINCT id, code FROM q JOIN notices ON {_cut('c', 1)} = {_cut('code', 1)} AND ({_depth('code')} <= 2 OR ({_depth('c')} >= 2 AND starts_with(code, {_cut('c', 2)})))) SELECT id, code FROM near UNION ALL SELECT o.id, notices.code FROM obs o, notices WHERE num % 7 = 0 AND predicted IS NULL AND lcs_code IS NULL AND rag_code IS NULL")
+@query(_NOTICES + f", obs3 AS (SELECT id, [predicted, lcs_code, rag_code] AS known FROM obs), p AS (SELECT DISTINCT known, unnest(known) AS c FROM obs3), q AS (SELECT known, c FROM p WHERE c IS NOT NULL), near AS (SELECT DISTINCT known, code FROM q JOIN notices ON {_cut('c', 1)} = {_cut('code', 1)} AND ({_depth('code')} <= 2 OR ({_depth('c')} >= 2 AND starts_with(code, {_cut('c', 2)})))), g AS (SELECT known, count(*) AS n_codes, md5(string_agg(code, chr(10) ORDER BY code)) AS codes_md5 FROM near GROUP BY known), w AS (SELECT count(*) AS n_codes, md5(string_agg(code, chr(10) ORDER BY code)) AS codes_md5 FROM notices) SELECT id, coalesce(g.n_codes, w.n_codes) AS n_codes, coalesce(g.codes_md5, w.codes_md5) AS codes_md5 FROM obs3 LEFT JOIN g ON obs3.known IS NOT DISTINCT FROM g.known, w")
 def relevant_nomenclature(spark, d):
-    return documents.relevant_codes(observations(spark, d).where("num % 7 = 0"), _notices(spark, d), ["predicted", "lcs_code", "rag_code"])
+    chosen = documents.relevant_codes(observations(spark, d), _notices(spark, d), ["predicted", "lcs_code", "rag_code"])
+    return chosen.select("id", F.size("codes").cast("long").alias("n_codes"), F.md5(F.array_join("codes", "\n")).alias("codes_md5"))
 
 
 @query(CTE + " SELECT id, md5('Product: ' || label || CASE WHEN length(shop) > 0 THEN chr(10) || 'Shop: ' || shop ELSE '' END || CASE WHEN coalesce(budget, 0) <> 0 THEN chr(10) || 'Price: ' || printf('%.2f', budget) || ' euros' ELSE '' END || chr(10) || 'Candidates: ' || top3) AS prompt_md5 FROM obs WHERE label IS NOT NULL AND top3 IS NOT NULL")
@@ -542,12 +545,10 @@ def aligned_list_answers(spark, d):
 # ---- more reports
 
 
-@query(CTE + " SELECT code, count(*) AS n, round(100.0 * count(*) FILTER (WHERE code = predicted) / count(*), 0) AS percent_right FROM obs WHERE code IS NOT NULL GROUP BY code HAVING (200 * count(*) FILTER (WHERE code = predicted)) % count(*) <> 0 OR (200 * count(*) FILTER (WHERE code = predicted)) // count(*) % 2 = 0")
+@query(CTE + " SELECT code, count(*) AS n, round_even(100.0::DOUBLE * count(*) FILTER (WHERE code = predicted) / count(*), 0) AS percent_right FROM obs WHERE code IS NOT NULL GROUP BY code")
 def percent_right_by_code(spark, d):
     hits, n = F.count_if(F.col("code") == F.col("predicted")), F.count("*")
-    rates = observations(spark, d).where("code IS NOT NULL").groupBy("code").agg(n.alias("n"), hits.alias("h"))
-    exact_half = ((200 * F.col("h")) % F.col("n") == 0) & ((200 * F.col("h") / F.col("n")).cast("long") % 2 == 1)
-    return rates.where(~exact_half).select("code", "n", F.bround(100.0 * F.col("h") / F.col("n"), 0).alias("percent_right"))
+    return observations(spark, d).where("code IS NOT NULL").groupBy("code").agg(n.alias("n"), F.bround(100.0 * hits / n, 0).alias("percent_right"))
 
 
 @query(CTE + f", e AS (SELECT {_cut('code', 1)} AS level1, {_SEVERITY} AS severity, confidence, source, code, predicted FROM obs WHERE NOT (starts_with(code, '98') OR starts_with(code, '99'))) SELECT level1, count(*) AS n, round(avg(confidence), 6) AS mean_confidence FROM e WHERE severity IN ('far-miss', 'near-miss') AND confidence BETWEEN 0.2 AND 0.9 AND source IN ('F', 'O') AND code LIKE '0%' GROUP BY level1")
