@@ -1,0 +1,5 @@
+"""The registry of queries: catalog holds it, evaluations adds to it."""
+
+from codalith.plans import catalog, evaluations
+
+__all__ = ["catalog", "evaluations"]

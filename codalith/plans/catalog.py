@@ -93,7 +93,7 @@ def price_cleaning(spark, d):
     return raw.select("id", text.price("t").alias("price"), text.amount("t").alias("amount"))
 
 
-@query()
+@query("SELECT p_partkey, CAST(i - 1 AS INTEGER) AS at, [p_name, p_type, p_brand][i] AS item FROM part, (SELECT unnest([1, 2, 3]) AS i)")
 def parse_list_answers(spark, d):
     lines = F.concat_ws("\n", F.lit("Voici des exemples :"), F.concat(F.lit("1. "), "p_name"), F.concat(F.lit("- "), "p_type"), F.lit(""), F.concat(F.lit("12) "), "p_brand"))
     return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.posexplode(text.list_items(lines)).alias("at", "item"))
