@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codalith.functions.text import amount
@@ -112,3 +112,82 @@ def expand_paths(config, **values):
     if isinstance(config, list):
         return [expand_paths(v, **values) for v in config]
     return config.format(**values) if isinstance(config, str) else config
+
+
+def read_periods(spark: SparkSession, base: str, years: list[int], months: list[int] | None = None) -> DataFrame:
+    """Rows of some years (and months) of a table partitioned by annee and mois; only their folders are read.
+
+    As a union of several periods is a set, equal rows of different files stand once then; a single period stays as it is.
+    """
+    test = F.col("annee").isin(years) if months is None else F.col("annee").isin(years) & F.col("mois").isin(months)
+    rows = spark.read.option("basePath", base).parquet(base).where(test)
+    single = len(years) == 1 and (months is None or len(months) == 1)
+    return rows if single else rows.distinct()
+
+
+def read_annotated_folder(spark: SparkSession, paths: list[str], sep: str = ";") -> tuple[DataFrame | None, dict[str, str]]:
+    """All annotated files whose layout is known, and the reason for each file left out. Headers alone are read here."""
+    parts, bad = [], {}
+    for path in paths:
+        try:
+            parts.append(read_annotated(spark, path, sep))
+        except Exception as e:  # unreadable files are reported to the caller, not dropped in silence
+            bad[path] = f"{type(e).__name__}: {e}"
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p)
+    return out, bad
+
+
+def read_by_position(spark: SparkSession, path: str, names: list[str], sep: str = ";") -> DataFrame:
+    """The first columns of a delimited file by position, as text; its first line is skipped."""
+    raw = spark.read.option("header", True).option("sep", sep).option("inferSchema", False).csv(path)
+    return raw.toDF(*[f"_{i}" for i in range(len(raw.columns))]).select(*[F.col(f"_{i}").alias(n) for i, n in enumerate(names)])
+
+
+#: Column names of nomenclature files: code, label, content, exclusions. Layouts are tried in this order.
+NOMENCLATURE_LAYOUTS = [("Code", "Libelle", "Contenu", "Exclusions"), ("code", "label", "content", "exclusions"), ("code", "libelle", "description", "excludes")]
+
+
+def read_nomenclature(spark: SparkSession, path: str, sep: str = ";", technical: bool = True) -> DataFrame:
+    """code, label, content, exclusions of a nomenclature file in any of NOMENCLATURE_LAYOUTS; technical codes as asked."""
+    raw = read_any(spark, path, sep)
+    for code, label, content, exclusions in NOMENCLATURE_LAYOUTS:
+        if code in raw.columns and label in raw.columns:
+            take = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")  # noqa: B023,E731
+            out = raw.select(F.trim(code).alias("code"), take(label).alias("label"), take(content).alias("content"), take(exclusions).alias("exclusions"))
+            return out if technical else out.where(~F.col("code").rlike("^(98|99)"))
+    raise ValueError(f"unknown layout: {raw.columns}")
+
+
+def write_tables(tables: dict[str, DataFrame], base: str) -> None:
+    """Each table as Parquet in a folder of its name below base."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+
+
+def write_vectors(df: DataFrame, path: str, key: str = "code", vector: str = "embedding") -> None:
+    """A vector table, replaced as a whole; rows without key or vector take no part."""
+    df.where(F.col(key).isNotNull() & (F.size(vector) > 0)).write.mode("overwrite").parquet(path)
+
+
+#: Fixed: beginnings of headings that open a part of a notice's page, as they stand there.
+NOTICE_HEADINGS = (("comprend", "includes"), ("ne comprend pas", "excludes"))
+
+
+def notice_sections(body: str | Column) -> Column:
+    """(description, includes, excludes) of a page's lines: a heading opens a part that lasts until the next one."""
+    lines = F.transform(F.split(F.coalesce(body if not isinstance(body, str) else F.col(body), F.lit("")), "\n"), lambda x: F.trim(F.regexp_replace(x, "(?U)\\s+", " ")))
+    start = F.struct(F.lit("description").alias("part"), *[F.array().cast("array<string>").alias(n) for n in ("description", "includes", "excludes")])
+
+    def step(state, line):
+        low = F.lower(line)
+        opened = F.lit(None).cast("string")
+        for heading, name in NOTICE_HEADINGS:
+            opened = F.when(F.regexp_like(low, F.lit(f"^(cette \\S+ |ce \\S+ )?{heading}\\b.{{0,20}}:?$")), name).otherwise(opened)
+        part = F.coalesce(opened, state["part"])
+        keep = opened.isNull() & (F.length(line) > 0)
+        return F.struct(part.alias("part"), *[F.when(keep & (part == n), F.concat(state[n], F.array(line))).otherwise(state[n]).alias(n) for n in ("description", "includes", "excludes")])
+
+    state = F.aggregate(lines, start, step)
+    return F.struct(*[F.array_join(state[n], "\n").alias(n) for n in ("description", "includes", "excludes")])
