@@ -71,6 +71,13 @@ def normalize_first_lines(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", text.normalize_label(first).alias("line"))
 
 
+@query(f"SELECT doc_id, CAST(i AS INTEGER) AS line_no, {_FOLD.format(c='raw')} AS line FROM (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS raw FROM documents)")
+def normalize_lines(spark, d):
+    lines = F.posexplode(F.split("text", "\n")).alias("at", "raw")
+    split = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", lines)
+    return split.select("doc_id", (F.col("at") + 1).alias("line_no"), text.normalize_label("raw").alias("line"))
+
+
 #: Enough for the tests' labels; callers give their own list.
 STOPWORDS = ["de", "la", "le", "les", "du", "des", "et", "au"]
 

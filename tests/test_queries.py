@@ -48,3 +48,10 @@ def test_entry_imports_without_the_optional_parts():
 
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
     assert catalog.FLAGSHIP in catalog.QUERIES
+
+
+def test_all_lines_of_all_texts_are_normalised(spark):
+    rows = catalog.QUERIES["normalize_lines"](spark, DATA).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect() if r.text is not None}
+    assert sorted((r.doc_id, r.line_no) for r in rows) == sorted((d, n + 1) for d, t in texts.items() for n in range(t.count("\n") + 1))
+    assert max(r.line_no for r in rows) > 1
