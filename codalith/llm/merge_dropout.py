@@ -1,18 +1,20 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 Merges are taken from an agenda, highest score first and then leftmost. A candidate merge is skipped
-for good if a keyed hash of the seed, the document's variant, the unit and the candidate's place in
-it falls below the dropout rate; so the same inputs always give the same segmentation, on any
-executor, and other seeds or variants give others. A candidate is its three borders: a later merge of
-the same symbols with a grown neighbour is another candidate. At rate 0 the ids are the library's own.
+for good if a keyed hash of the seed, the document, the unit's place in it and the candidate's place
+in the unit falls below the dropout rate; so each occurrence of a unit is drawn for itself, and the
+same inputs always give the same segmentation, on any executor. A candidate is its three borders: a
+later merge of the same symbols with a grown neighbour is another candidate. At rate 0 the ids are the
+library's own.
 
-Pieces don't cross from a character to a space behind it, so a text is cut before each run of spaces
-and every distinct unit of a step is encoded once. Short units merge side by side in arrays, one
-merge of each per round; long ones use a heap.
+Pieces don't cross from a character to a space behind it, so a text is cut before each run of spaces.
+Kept for every distinct unit are its merges and ids without dropout, which don't depend on a draw; an
+occurrence that drops none of these merges has these ids, and all others are merged anew. Short units
+merge side by side in arrays, one merge of each per round; long ones use a heap.
 
 Defined results: null and empty texts have no ids. U+2581 in a text stands for a space, as in the
 library, and decodes as one; all other texts decode to themselves. Repeated rows of one doc_id are
-segmented alike; a null doc_id counts as 0.
+segmented alike if their texts are; a null doc_id counts as 0.
 """
 
 from __future__ import annotations
@@ -30,12 +32,13 @@ from codalith.llm import common, words
 
 U = np.uint64
 MARK = "▁"
-SEED, RATE, VARIANTS = 20, 0.1, 4
-CACHE_ENTRIES, STEP_BYTES, LONG_UNIT = 1_000_000, 4 << 20, 48
+SEED, RATE = 20, 0.1
+CACHE_ENTRIES, STEP_BYTES, LONG_UNIT = 1_000_000, 1 << 20, 48
+LONG_MARK = 1 << 40
 
 
 class MergeCoder:
-    def __init__(self, path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, path: str, rate: float = RATE, seed: int = SEED):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -65,17 +68,20 @@ class MergeCoder:
         single = sorted((ord(p), i) for p, i in number.items() if len(p) == 1)
         self.code_points, self.code_symbols = np.array([c for c, _ in single], np.uint32), np.array([i for _, i in single], np.int64)
         self.limit = U(min(int(rate * 2**64), 2**64 - 1))
-        self.rate, self.seed, self.variants = rate, seed, variants
+        self.rate, self.seed = rate, seed
         shown = [bytes([int(pieces[i][3:5], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else pieces[i].replace(MARK, " ").encode() for i in range(n)]
         self.shown_length = np.array([len(x) for x in shown], np.int64)
         self.shown_start = np.cumsum(self.shown_length) - self.shown_length
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
-        self.pool = words.SlicePool(CACHE_ENTRIES, "<u4")
+        self.pool = words.SlicePool(CACHE_ENTRIES, U)  # of each unit: how many merges it has, their places, its ids
 
     def _skipped(self, key: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the candidate with these borders is dropped, in a unit of this key."""
-        place = left.astype(U) * U(0x9E3779B97F4A7C15) + middle.astype(U) * U(0xC2B2AE3D27D4EB4F) + right.astype(U) * U(0x165667B19E3779F9)
-        return words.mix(key ^ words.mix(place)) < self.limit
+        return words.mix(key ^ self._place(left, middle, right)) < self.limit
+
+    @staticmethod
+    def _place(left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return words.mix(left.astype(U) * U(0x9E3779B97F4A7C15) + middle.astype(U) * U(0xC2B2AE3D27D4EB4F) + right.astype(U) * U(0x165667B19E3779F9))
 
     def _long(self, text: str, key: int) -> list[int]:
         """Symbols of one unit by a heap."""
@@ -111,8 +117,8 @@ class MergeCoder:
     def _ids(self, symbol: int, text: str) -> list[int]:
         return [symbol] if 0 <= symbol < self.n else self.byte_ids[list(text.encode())].tolist()
 
-    def _short(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units in their order, and how many each has."""
+    def _short(self, units: list[str], keys: np.ndarray | None, merges: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units in their order, and how many each has; without keys nothing is dropped, and merges gets (unit, place) arrays."""
         size = np.array([len(u) for u in units], np.int64)
         codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
         found = np.minimum(np.searchsorted(self.code_points, codes), len(self.code_points) - 1)
@@ -129,7 +135,7 @@ class MergeCoder:
             place = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
             good = self.pair_keys[place] == pair
             at, piece = at[good], self.pair_piece[place[good]]
-            if self.rate and len(at):
+            if keys is not None and self.rate and len(at):
                 free = ~self._skipped(keys[unit[at]], char[at] - origin[at], char[at + 1] - origin[at], stop[at + 1] - origin[at])
                 at, piece = at[free], piece[free]
             if not len(at):
@@ -141,6 +147,8 @@ class MergeCoder:
             best = np.flatnonzero(value == top)
             best = best[np.r_[True, owner[best][1:] != owner[best][:-1]]]  # the leftmost of each unit
             left = at[best]
+            if merges is not None:
+                merges.append((unit[left], self._place(char[left] - origin[left], char[left + 1] - origin[left], stop[left + 1] - origin[left])))
             symbol[left], stop[left] = piece[best], stop[left + 1]
             keep = np.ones(len(symbol), bool)
             keep[left + 1] = False
@@ -183,8 +191,25 @@ class MergeCoder:
         begin[order] = np.cumsum(lengths[order]) - lengths[order]
         return words.gather(np.concatenate(parts), begin, lengths), lengths
 
-    def variant(self, doc_ids: np.ndarray) -> np.ndarray:
-        return words.mix(doc_ids.astype(np.int64).view(U) ^ U(self.seed)) % U(self.variants)
+    def _undropped(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What the pool keeps of each unit; of a long one that it has a merge which is always dropped."""
+        size = np.array([len(u) for u in units], np.int64)
+        short, merges = np.flatnonzero(size <= LONG_UNIT), []
+        n_merges, n_ids = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        ids = owner = place = np.zeros(0, U)
+        if len(short):
+            ids, n_ids[short] = self._short([units[k] for k in short.tolist()], None, merges)
+        if merges:
+            owner, place = (np.concatenate(x) for x in zip(*merges))
+            order = np.argsort(owner, kind="stable")
+            place, n_merges[short] = place[order], np.bincount(owner, minlength=len(short))
+        length = 1 + n_merges + n_ids
+        begin = np.cumsum(length) - length
+        out = np.zeros(int(length.sum()), U)
+        out[begin] = np.where(size <= LONG_UNIT, n_merges, LONG_MARK)
+        for first, count, values in ((begin + 1, n_merges, place), (begin + 1 + n_merges, n_ids, ids)):
+            out[np.repeat(first - (np.cumsum(count) - count), count) + np.arange(len(values))] = values
+        return out, length
 
     def encode(self, batch: list[str], doc_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All ids, their edges per text, and the bytes that they must decode to with edges per text."""
@@ -198,12 +223,28 @@ class MergeCoder:
         starts = np.flatnonzero(head)
         ends = np.r_[starts[1:], len(data)] if len(starts) else starts
         n_units = np.diff(np.searchsorted(starts, offsets))
-        chosen = np.repeat(self.variant(doc_ids), n_units)
-        keys = words.mix(words.hashes(data, starts, ends) ^ words.mix(chosen + U(self.seed) * U(self.variants)))
+        document = words.mix(doc_ids.astype(np.int64).view(U) ^ words.mix(np.array([self.seed], np.int64).view(U)))
+        nth = np.arange(len(starts)) - np.repeat(np.cumsum(n_units) - n_units, n_units)
+        keys = words.mix(np.repeat(document, n_units) + nth.astype(U) * U(0x9E3779B97F4A7C15))
         raw = data.tobytes()
-        begin, length = self.pool.look_up(keys, lambda new: self._encode([raw[a:b].decode().replace(" ", MARK) for a, b in zip(starts[new].tolist(), ends[new].tolist())], keys[new]))
-        edges = np.r_[0, np.cumsum(length)][np.r_[0, np.cumsum(n_units)]]
-        return words.gather(self.pool.pool, begin, length), edges, data, offsets
+        texts = lambda at: [raw[a:b].decode().replace(" ", MARK) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        begin, length = self.pool.look_up(words.hashes(data, starts, ends), lambda new: self._undropped(texts(new)))
+        n_merges = self.pool.pool[begin].astype(np.int64)
+        again = n_merges == LONG_MARK
+        n_merges[again] = 0
+        if self.rate:
+            drawn = np.repeat(np.arange(len(starts)), n_merges)
+            again[drawn[words.mix(keys[drawn] ^ words.gather(self.pool.pool, begin + 1, n_merges)) < self.limit]] = True
+        n_ids = np.where(again, 0, length - 1 - n_merges)
+        kept = words.gather(self.pool.pool, begin + 1 + n_merges, n_ids).astype("<u4")
+        place = np.cumsum(n_ids) - n_ids
+        redo = np.flatnonzero(again)
+        if len(redo):
+            new, n_ids[redo] = self._encode(texts(redo), keys[redo])
+            place[redo] = len(kept) + np.cumsum(n_ids[redo]) - n_ids[redo]
+            kept = np.concatenate([kept, new])
+        edges = np.r_[0, np.cumsum(n_ids)][np.r_[0, np.cumsum(n_units)]]
+        return words.gather(kept, place, n_ids), edges, data, offsets
 
     def decoded(self, ids: np.ndarray) -> np.ndarray:
         """The bytes that ids stand for, a space before the first word included."""
@@ -215,9 +256,9 @@ class MergeCoder:
         return (text[1:] if text[:1] == b" " else text).decode(errors="replace")
 
 
-def _coder(path: str, rate: float, seed: int, variants: int, with_ids: bool):
+def _coder(path: str, rate: float, seed: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeCoder(path, rate, seed, variants)
+        coder = MergeCoder(path, rate, seed)
         for batch in batches:
             _, offsets = common.utf8(batch.column("text"))
             doc_ids = batch.column("doc_id").cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
@@ -237,10 +278,10 @@ def _coder(path: str, rate: float, seed: int, variants: int, with_ids: bool):
     return run
 
 
-def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, variants: int = VARIANTS, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, with_ids: bool = True) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids), lossless, and ids."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return plain.mapInArrow(_coder(model_path, rate, seed, variants, with_ids), "doc_id long, n_ids long, ids_crc32 long, lossless boolean" + ", ids array<int>" * with_ids)
+    return plain.mapInArrow(_coder(model_path, rate, seed, with_ids), "doc_id long, n_ids long, ids_crc32 long, lossless boolean" + ", ids array<int>" * with_ids)
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
