@@ -21,15 +21,16 @@ def validation_fold(doc_ids: np.ndarray, folds: int = 5) -> np.ndarray:
     return np.array([zlib.crc32(b"calibration %d" % d) % folds == 0 for d in doc_ids.tolist()], bool)
 
 
-def sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> DataFrame:
-    """(doc_id, text, label) of at most per_class rows for each of labels 0 and 1, the first by a hash of doc_id.
+def sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, all_grades: bool = False) -> DataFrame:
+    """(doc_id, text, label) of at most per_class rows for each of labels 0 and 1, or for each that occurs, the first by a hash of doc_id.
 
-    The rows are chosen before the join, so what is broadcast holds 2 * per_class pairs at most.
+    The rows are chosen before the join, so what is broadcast holds per_class pairs a label at most.
     A doc_id with several labels counts as its largest; null and held-out rows are left out.
     """
     usable = labels.where(f"doc_id IS NOT NULL AND {column} IS NOT NULL").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias("label"))
     chosen = None
-    for value in (0, 1):
+    grades = sorted(r["label"] for r in usable.select("label").distinct().collect()) if all_grades else []
+    for value in grades or (0, 1):
         part = usable.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")

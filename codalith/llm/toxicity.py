@@ -133,26 +133,28 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_fe
     Features are kept that min_documents sample documents hold and whose document shares differ between
     the grades (chi-square of MIN_CHI2 or more), at most max_features of them, the most uneven first.
     """
-    rows = common.stage_table(labelled.sample(docs, labels, "toxic", per_class).mapInArrow(_counts, "doc_id long, label int, features array<string>, counts array<int>"), "toxic")
+    rows = common.stage_table(labelled.sample(docs, labels, "toxic", per_class, all_grades=True).mapInArrow(_counts, "doc_id long, label int, features array<string>, counts array<int>"), "toxic")
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return OrdinalModel(lowest=next(iter(totals), 0))
-    n0, n1 = totals[0], totals[1]
-    seen = rows.select("label", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("label").alias("k")).where(F.col("n") >= min_documents)
-    share, all_rows = F.col("n") / (n0 + n1), n0 + n1
-    difference = F.col("k") / n1 - (F.col("n") - F.col("k")) / n0
-    chi2 = difference * difference * (n0 * n1 / all_rows) / F.greatest(share * (1 - share), F.lit(1e-9))
+    all_rows = sum(totals.values())
+    held = [F.count(F.when(F.col("label") == g, 1)).alias(f"k{i}") for i, g in enumerate(sorted(totals))]
+    seen = rows.select("label", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n"), *held).where(F.col("n") >= min_documents)
+    share = F.col("n") / all_rows
+    uneven = sum((F.pow(F.col(f"k{i}") / totals[g] - share, 2) * totals[g] for i, g in enumerate(sorted(totals))), F.lit(0.0))
+    chi2 = uneven / F.greatest(share * (1 - share), F.lit(1e-9))
     chosen = [r["f"] for r in seen.where(chi2 >= MIN_CHI2).orderBy(chi2.desc(), "f").limit(max_features).collect()]
+    lowest = min(totals)
     if not chosen:
-        return OrdinalModel()
+        return OrdinalModel(lowest=lowest)
     number = {f: i for i, f in enumerate(chosen)}
     pick = F.broadcast(docs.sparkSession.createDataFrame(list(number.items()), "f string, i int"))  # max_features rows at most
     long = rows.select("doc_id", F.explode(F.arrays_zip("features", "counts")).alias("w")).select("doc_id", F.col("w.features").alias("f"), F.col("w.counts").alias("n")).join(pick, "f")
     # What comes to the driver is bounded by the sample's documents times max_features.
     packed = rows.select("doc_id", "label").join(long.groupBy("doc_id").agg(F.collect_list("i").alias("i"), F.collect_list("n").alias("n")), "doc_id", "left").toArrow().sort_by("doc_id")
     features = [dict(zip(i or [], np.log1p(n or []).tolist())) for i, n in zip(packed["i"].to_pylist(), packed["n"].to_pylist())]
-    weights, theta = fit(features, packed["label"].to_numpy(), len(number))
-    return OrdinalModel({f: float(weights[i]) for f, i in number.items() if abs(weights[i]) > 1e-4}, tuple(theta.tolist()))
+    weights, theta = fit(features, packed["label"].to_numpy() - lowest, len(number))
+    return OrdinalModel({f: float(weights[i]) for f, i in number.items() if abs(weights[i]) > 1e-4}, tuple(theta.tolist()), lowest)
 
 
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
