@@ -33,7 +33,7 @@ from codalith.llm import common, words
 U = np.uint64
 MARK = "▁"
 SEED, RATE = 20, 0.1
-CACHE_ENTRIES, STEP_BYTES, LONG_UNIT = 1_000_000, 1 << 20, 48
+STEP_BYTES, LONG_UNIT = 1 << 20, 48
 LONG_MARK = 1 << 40
 
 
@@ -73,7 +73,7 @@ class MergeCoder:
         self.shown_length = np.array([len(x) for x in shown], np.int64)
         self.shown_start = np.cumsum(self.shown_length) - self.shown_length
         self.shown = np.frombuffer(b"".join(shown), np.uint8)
-        self.pool = words.SlicePool(CACHE_ENTRIES, U)  # of each unit: how many merges it has, their places, its ids
+        self.pool = words.SlicePool(U)  # of each unit: how many merges it has, their places, its ids
 
     def _skipped(self, key: np.ndarray, left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the candidate with these borders is dropped, in a unit of this key."""
@@ -228,7 +228,7 @@ class MergeCoder:
         keys = words.mix(np.repeat(document, n_units) + nth.astype(U) * U(0x9E3779B97F4A7C15))
         raw = data.tobytes()
         texts = lambda at: [raw[a:b].decode().replace(" ", MARK) for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-        begin, length = self.pool.look_up(words.hashes(data, starts, ends), lambda new: self._undropped(texts(new)))
+        begin, length = self.pool.look_up(data, starts, ends, lambda new: self._undropped(texts(new)))
         n_merges = self.pool.pool[begin].astype(np.int64)
         again = n_merges == LONG_MARK
         n_merges[again] = 0

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from codalith.llm import common, words
 
 CAPACITY, END_ID = 2048, 0
-#: Entries of a worker's word cache, bytes of text in a tokenizing step, pieces in a numbering bucket.
-CACHE_ENTRIES, STEP_BYTES, BUCKET_PIECES = 1_000_000, 2 << 20, 50_000
+#: Bytes of text in a tokenizing step, pieces in a numbering bucket.
+STEP_BYTES, BUCKET_PIECES = 2 << 20, 50_000
 
 _MARKS = ".,!?;:"
 
@@ -47,8 +47,8 @@ def _folded(text: str) -> str | None:
 class WordTokenizer:
     """Ids of a tokenizer whose tokens don't cross white space.
 
-    Each distinct white-space-separated chunk of a step is looked up once by its 64-bit hash in a
-    bounded pool; what is missing goes through the tokenizer.
+    Each distinct white-space-separated chunk of a step is looked up once in a bounded pool; what is
+    missing goes through the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -60,7 +60,7 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.pool = words.SlicePool(CACHE_ENTRIES, "<u4")
+        self.pool = words.SlicePool("<u4")
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
@@ -97,7 +97,7 @@ class WordTokenizer:
         data, offsets = np.frombuffer(b"".join(encoded), np.uint8), np.r_[0, np.cumsum([len(x) for x in encoded])].astype(np.int64)
         starts, ends, first = words.bounds(data, offsets)
         raw = data.tobytes()
-        begin, length = self.pool.look_up(words.hashes(data, starts, ends), lambda new: self._encode([raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]))
+        begin, length = self.pool.look_up(data, starts, ends, lambda new: self._encode([raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist())]))
         flat = words.gather(self.pool.pool, begin, length)
         edges = np.r_[0, np.cumsum(length)][first]
         return [self.whole(text) if low is None else flat[a:b] for text, low, a, b in zip(batch, folded, edges[:-1].tolist(), edges[1:].tolist())]

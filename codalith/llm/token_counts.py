@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from codalith.llm import common, words
 
-MARK, UNKNOWN_PENALTY = "▁", 10.0
-CACHE_ENTRIES, STEP_BYTES = 1_000_000, 2 << 20
+MARK, UNKNOWN_PENALTY, STEP_BYTES = "▁", 10.0, 2 << 20
 
 
 def read_pieces(path: str) -> list[tuple[str, float]]:
@@ -46,7 +45,7 @@ class ViterbiCounter:
                 self.automaton.add_word(piece, (len(piece), float(score)))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in pieces) - UNKNOWN_PENALTY
-        self.pool = words.SlicePool(CACHE_ENTRIES, np.float64)
+        self.pool = words.SlicePool(np.float64)
 
     def unit(self, text: str) -> tuple[int, float]:
         """Pieces and score of the best path through text."""
@@ -98,7 +97,7 @@ class ViterbiCounter:
             values = [self.unit(MARK + raw[a:b].decode()) for a, b in zip(starts[new].tolist(), ends[new].tolist())]
             return np.array(values, np.float64).reshape(-1), np.full(len(values), 2, np.int64)
 
-        begin, _ = self.pool.look_up(words.hashes(data, starts, ends), make)
+        begin, _ = self.pool.look_up(data, starts, ends, make)
         first = np.r_[0, np.cumsum(n_units)][:-1]
         n_pieces[filled] = np.add.reduceat(self.pool.pool[begin], first).astype(np.int64)
         scores[filled] = np.add.reduceat(self.pool.pool[begin + 1], first)

@@ -30,7 +30,6 @@ PER_CLASS, MAX_FEATURES, MIN_DOCUMENTS, MIN_CHI2 = 2000, 4000, 4, 12.0
 #: Lengths of the beginnings of a letter run that are features.
 BEGINNINGS = range(3, 7)
 TOXIC = 0.5
-CACHE_ENTRIES = 1_000_000
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -61,7 +60,7 @@ class Scorer:
         self.model = model
         self.number = {f: i for i, f in enumerate(model.weights)}
         self.weights = np.array(list(model.weights.values()) or [0.0])
-        self.pool = words.SlicePool(CACHE_ENTRIES, np.int32)
+        self.pool = words.SlicePool(np.int32)
 
     def column(self, text: pa.Array) -> np.ndarray:
         data, offsets = common.utf8(text)
@@ -75,7 +74,7 @@ class Scorer:
                 found = [[self.number[f] for f in word_features(raw[a:b].decode(errors="replace")) if f in self.number] for a, b in zip(starts[new].tolist(), ends[new].tolist())]  # noqa: B023
                 return np.array([x for f in found for x in f], np.int32), np.array([len(f) for f in found], np.int64)
 
-            begin, length = self.pool.look_up(words.hashes(part, starts, ends), make)
+            begin, length = self.pool.look_up(part, starts, ends, make)
             doc = np.repeat(np.repeat(np.arange(j - i), np.diff(first)), length)
             seen, count = np.unique(doc * len(self.weights) + words.gather(self.pool.pool, begin, length), return_counts=True)
             z[i:j] = np.bincount(seen // len(self.weights), weights=self.weights[seen % len(self.weights)] * np.log1p(count), minlength=j - i)
