@@ -8,7 +8,7 @@ from codalith.llm.packing import op8_best_fit_packing
 from codalith.llm.quality_ranking import op5_quality_classifier
 from codalith.llm.quality_rules import op2_quality_rules
 from codalith.llm.simhash import op10_simhash
-from codalith.llm.substring import op3_substring_dedup
+from codalith.llm.substring import OP3_SQL, op3_substring_dedup
 from codalith.llm.token_counts import op6_token_counts
 from codalith.llm.toxicity import op7_toxicity
 from codalith.llm.vector_search import OP4_SQL, op4_exact_topk
@@ -17,4 +17,4 @@ QUERIES = {
     f.__name__: f
     for f in (op1_preference_format, op2_quality_rules, op3_substring_dedup, op4_exact_topk, op5_quality_classifier, op6_token_counts, op7_toxicity, op8_best_fit_packing, op9_merge_dropout, op10_simhash)
 }
-SQL = {"op1_preference_format": OP1_SQL, "op4_exact_topk": OP4_SQL}
+SQL = {"op1_preference_format": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_exact_topk": OP4_SQL}

@@ -1,17 +1,22 @@
 """Substring deduplication: every window of `width` words that also starts in an earlier document goes.
 
-Rabin-Karp hashes of all windows are taken per block of documents, reduced to one row per distinct
-hash and block, dealt out by a second independent hash, and compared in Spark: of each hash the
-smallest doc_id keeps its windows. Windows that repeat merge into maximal removal intervals.
+Rabin-Karp hashes of all windows are taken per block of documents and reduced to one record per
+distinct window and block, the block's smallest doc_id. Records travel packed, one row per block and
+bucket of hashes; they are unpacked behind the shuffle, sorted by Spark, which spills what doesn't fit,
+and scanned once: of each window the smallest doc_id keeps it. What a document loses comes back to it
+by a join. Windows that repeat merge into maximal removal intervals.
 
-A hash that a third of all documents hold costs one entry per block, not one per document. Texts of
-documents move once, when parts of the corpus meet their repeated windows; the windows travel as
-packed 64-bit hashes in rows per bucket and part, never as a row per window.
+A window that a third of all documents hold costs one record per block, not one per document. There
+are never more rows than windows: with the corpus the buckets grow in number and rows in them shrink
+to single records. No task holds a bucket or a document's copies as a whole.
+
+Windows are equal if 80 bits of two independent word hashes and the bits that choose the bucket are;
+words of eight bytes or less never collide. In 10 ** 12 windows (some 6 TB) that is one wrong equality
+expected in a thousand such corpora for the smallest number of buckets.
 
 Defined results: null text has no words; a text of fewer than `width` words loses nothing; rows that
 share a doc_id count as one document (none removes the other's windows) and each gets its own row;
 a row of null doc_id is returned, loses nothing and removes nothing; other columns are ignored.
-Equality of windows is that of 64 bits plus the bits that choose the bucket.
 """
 
 from __future__ import annotations
@@ -28,164 +33,226 @@ from pyspark.sql import functions as F
 
 from codalith.llm import common, words
 
-BASE, BUCKET_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-#: Windows in a block, which are reduced together before the shuffle; text bytes for each bucket of hashes and for each part of the corpus.
-BLOCK_WINDOWS, BUCKET_BYTES, PART_BYTES = 1 << 20, 6 << 20, 6 << 20
-#: Packed rows that go to the JVM at once.
-ROWS_AT_ONCE = 32
-
-#: Column that says which part of the corpus a document is in.
-PART = "__codalith_part"
-
-_PACKED = pa.schema([("bucket", pa.int64()), ("doc_ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
-_ANSWERS = pa.schema([("part", pa.int64()), ("doc_ids", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
-
-
-def _by_document(docs: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of equal doc numbers in sorted docs: their values, counts, and where each begins."""
-    begin = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else np.zeros(0, np.int64)
-    return docs[begin], np.diff(np.r_[begin, len(docs)]), begin
-
-
-def _part_of(doc_ids: np.ndarray, n_parts: int) -> np.ndarray:
-    """The part of the corpus that a document is in; the same rule as _part_column."""
-    return (doc_ids ^ (doc_ids >> 20)) % n_parts
-
-
-def _part_column(n_parts: int):
-    by_id = F.pmod(F.col("doc_id").bitwiseXOR(F.shiftright("doc_id", 20)), F.lit(n_parts).cast("long"))
-    return F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(n_parts).cast("long"))).otherwise(by_id)
-
-
-def _packed_runs(groups: np.ndarray, docs: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """Per group: doc ids, how many keys each has, and the keys, packed."""
-    order = np.lexsort((docs, groups))
-    groups, docs, keys = groups[order], docs[order], keys[order]
-    values, counts, starts = _by_document(groups, keys)
-    for g, n, at in zip(values.tolist(), counts.tolist(), starts.tolist()):
-        ids, per_doc, _ = _by_document(docs[at : at + n], keys)
-        yield g, ids.astype(np.int64).tobytes(), per_doc.astype(np.int64).tobytes(), keys[at : at + n].tobytes()
-
-
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    docs, counts, keys = (np.frombuffer(b"".join(table[name].to_pylist()), kind) for name, kind in (("doc_ids", np.int64), ("counts", np.int64), ("hashes", np.uint64)))
-    return np.repeat(docs, counts), keys
-
-
-def _first_owner(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorting order of keys, where each distinct key begins in it, and the smallest doc of each key."""
-    order = np.argsort(keys)
-    ordered = keys[order]
-    begin = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    return order, begin, np.minimum.reduceat(docs[order], begin)
-
-
-def _block_rows(docs: list, keys: list, owners: list, n_parts: int) -> Iterator[pa.RecordBatch]:
-    doc, key, bucket = np.concatenate(docs), np.concatenate(keys), np.concatenate(owners)
-    for pieces in (docs, keys, owners):
-        pieces.clear()
-    if not len(key):
-        return
-    order, begin, least = _first_owner(key, doc)
-    local = doc[order] != np.repeat(least, np.diff(np.r_[begin, len(order)]))
-    local_docs = doc[order][local]
-    answers = -1 - _part_of(local_docs, n_parts)  # negative: an answer already, not a question
-    one = order[begin]
-    rows = [*_packed_runs(answers, local_docs, key[order][local]), *_packed_runs(bucket[one], least, key[one])]
+U = np.uint64
+WIDTH = 13
+BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: Windows in a block, which are reduced together before the shuffle; text bytes for each bucket of hashes.
+BLOCK_WINDOWS, BUCKET_BYTES = 1 << 20, 6 << 20
+#: Packed rows, records and answers that are handled at once.
+ROWS_AT_ONCE, RECORDS_AT_ONCE, ANSWERS_AT_ONCE = 32, 1 << 17, 1 << 19
+
+#: Columns that deal out documents with the same doc_id and bring back what a document loses.
+ROUTE, HITS = "__codalith_route", "__codalith_hits"
+
+_SENT = pa.schema([("bucket", pa.int64()), ("records", pa.binary())])
+_RECORDS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("low", pa.int32()), ("known", pa.bool_())])
+_ANSWERS = pa.schema([("doc_id", pa.int64()), ("route", pa.int32()), ("hashes", pa.binary())])
+
+
+def _route():
+    """Sixteen bits of a text, so that rows of one doc_id don't all get each other's answers."""
+    return F.coalesce(F.xxhash64("text").bitwiseAND(F.lit(0xFFFF).cast("long")), F.lit(0).cast("long")).cast("int")
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin in sorted keys, and their lengths."""
+    begin = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return begin, np.diff(np.r_[begin, len(keys)])
+
+
+def _packed(bucket: np.ndarray, h: np.ndarray, docs: np.ndarray, low: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Per bucket its records: all hashes, all doc_ids, all low bits."""
+    order = np.lexsort((docs, bucket))
+    bucket, h, docs, low = bucket[order], h[order], docs[order], low[order]
+    for at, n in zip(*map(np.ndarray.tolist, _runs(bucket))):
+        yield int(bucket[at]), h[at : at + n].tobytes() + docs[at : at + n].tobytes() + low[at : at + n].tobytes()
+
+
+def _block_rows(pieces: list[tuple[np.ndarray, ...]], n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """Packed records of a block: questions by buckets of hashes, and in negative buckets, by documents, what is lost for certain."""
+    h, second, docs, route = (np.concatenate(x) for x in zip(*pieces))
+    pieces.clear()
+    order = np.argsort(h)
+    h, docs = h[order], docs[order]
+    bucket = (second % U(n_buckets)).astype(np.int64)[order]
+    low = ((second >> U(48)).astype(np.uint32)[order] << np.uint32(16)) | route[order].astype(np.uint32)
+    begin, size = _runs(h)
+    least = np.minimum.reduceat(docs, begin)
+    own = docs == np.repeat(least, size)
+    top = np.maximum.reduceat(np.where(own, low, np.uint32(0)), begin)
+    # Equal hashes of different windows, or of texts that share a doc_id, are all sent as questions.
+    mixed = (np.minimum.reduceat(np.where(own, low, np.uint32(0xFFFFFFFF)), begin) != top) | (np.maximum.reduceat(low >> np.uint32(16), begin) != np.minimum.reduceat(low >> np.uint32(16), begin))
+    asked = np.repeat(mixed, size)
+    lost = np.flatnonzero(~own & ~asked)
+    rest = np.flatnonzero(asked)
+    one = begin[~mixed]
+    # The bucket is a function of the window, so a run that isn't mixed has one.
+    rows = [*_packed(-1 - (words.mix(docs[lost].view(U)) % U(n_buckets)).astype(np.int64), h[lost], docs[lost], low[lost])]
+    rows += _packed(np.r_[bucket[one], bucket[rest]], np.r_[h[one], h[rest]], np.r_[least[~mixed], docs[rest]], np.r_[top[~mixed], low[rest]])
     for at in range(0, len(rows), ROWS_AT_ONCE):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + ROWS_AT_ONCE]), _PACKED)], schema=_PACKED)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + ROWS_AT_ONCE]), _SENT)], schema=_SENT)
 
 
-def _document_windows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First word of each document, word hashes, the start words of all windows, and windows per document."""
-    starts, ends, first = words.bounds(data, offsets)
-    at, n_windows = words.window_starts(first, width)
-    return first, words.hashes(data, starts, ends), at, n_windows
+def _window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
+    """Of every run of width words, documents not yet kept apart."""
+    return words.mix(words.rolling(words.hashes(data, starts, ends), width, BASE))
 
 
-def _sender(width: int, n_buckets: int, n_parts: int):
+def _sender(width: int, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: list = []
-        keys: list = []
-        buckets: list = []
+        pieces: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
             data, offsets = common.utf8(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, route = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("route").to_numpy(zero_copy_only=False)
             for i, j in common.chunks(offsets):
-                _, h, at, n_windows = _document_windows(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width)
+                part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                starts, ends, first = words.bounds(part, local)
+                at, n_windows = words.window_starts(first, width)
                 if not len(at):
                     continue
-                docs.append(np.repeat(ids[i:j], n_windows))
-                keys.append(words.mix(words.rolling(h, width, BASE)[at]))
-                other = words.mix(words.rolling(words.mix(h), width, BUCKET_BASE)[at])
-                buckets.append((other % np.uint64(n_buckets)).astype(np.int64))
+                second = words.mix(words.rolling(words.hashes(part, starts, ends, 1), width, SECOND_BASE)[at])
+                pieces.append((_window_hashes(part, starts, ends, width)[at], second, np.repeat(ids[i:j], n_windows), np.repeat(route[i:j].astype(np.uint16), n_windows)))
                 held += len(at)
                 if held >= BLOCK_WINDOWS:
-                    yield from _block_rows(docs, keys, buckets, n_parts)
+                    yield from _block_rows(pieces, n_buckets)
                     held = 0
         if held:
-            yield from _block_rows(docs, keys, buckets, n_parts)
+            yield from _block_rows(pieces, n_buckets)
+        common.trim()
 
     return run
 
 
-def _receiver(n_parts: int):
-    """Of one bucket: the windows whose hash also stands for a smaller doc_id, by parts of the corpus."""
-
-    def run(group: pa.Table) -> pa.Table:
-        docs, keys = _unpacked(group)
-        if group["bucket"][0].as_py() >= 0:
-            order, begin, least = _first_owner(keys, docs)
-            later = docs[order] != np.repeat(least, np.diff(np.r_[begin, len(order)]))
-            docs, keys = docs[order][later], keys[order][later]
-        rows = list(_packed_runs(_part_of(docs, n_parts), docs, keys))
-        return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ANSWERS)], schema=_ANSWERS)
-
-    return run
-
-
-def repeated_windows(docs: DataFrame, width: int, n_buckets: int, n_parts: int) -> DataFrame:
-    """Packed hashes of windows that also start in a document of smaller doc_id, by parts of the corpus; staged."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    sent = known.mapInArrow(_sender(width, n_buckets, n_parts), "bucket long, doc_ids binary, counts binary, hashes binary")
-    found = sent.groupBy("bucket").applyInArrow(_receiver(n_parts), "part long, doc_ids binary, counts binary, hashes binary")
-    return common.stage_table(found, "windows")
-
-
-def _removed(part: np.ndarray, starts: np.ndarray, ends: np.ndarray, own: np.ndarray, width: int) -> np.ndarray:
-    """Which words of one document lie in a repeated window."""
-    h = words.hashes(part, starts, ends)
-    return words.covered(np.flatnonzero(np.isin(words.mix(words.rolling(h, width, BASE)), own)), width, len(starts))
-
-
-def _documents(docs: pa.Table, answers: pa.Table, width: int) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per record."""
+    for batch in batches:
+        for bucket, raw in zip(batch.column("bucket").to_pylist(), batch.column("records")):
+            raw = raw.as_buffer()
+            n = raw.size // 20
+            columns = [pa.array(np.frombuffer(raw, kind, n, at * n)) for kind, at in ((np.int64, 0), (np.int64, 8), (np.int32, 16))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, bucket < 0))], schema=_RECORDS)
+
+
+class _Scan:
+    """Of records sorted by hash and doc_id: which windows also stand for a smaller doc_id."""
+
+    def __init__(self) -> None:
+        self.last, self.least = None, {}  # the hash that the last batch ended with, and of each of its windows the smallest doc_id
+
+    def later(self, h: np.ndarray, docs: np.ndarray, second: np.ndarray, known: np.ndarray) -> np.ndarray:
+        out = known.copy()
+        begin, size = _runs(h)
+        asks = np.flatnonzero(~known)
+        first = np.full(len(begin), len(h))
+        run = np.repeat(np.arange(len(begin)), size)
+        np.minimum.at(first, run[asks], asks)  # the first question of each run has its smallest doc_id
+        has = first < len(h)
+        lead = np.where(has, first, 0)[run[asks]]
+        alike = second[asks] == second[lead]
+        out[asks[alike & (docs[asks] > docs[lead])]] = True
+        one_by_one = set(run[asks[~alike]].tolist())
+        if self.last is not None and len(h) and h[0] == self.last:
+            one_by_one.add(0)
+        for r in one_by_one:
+            least = dict(self.least) if r == 0 and h[0] == self.last else {}
+            for k in range(begin[r], begin[r] + size[r]):
+                if not known[k]:
+                    least[second[k]] = min(docs[k], least.get(second[k], docs[k]))
+                    out[k] = docs[k] > least[second[k]]
+            if r == len(begin) - 1:
+                self.least = least
+        if len(h):
+            if len(begin) - 1 not in one_by_one:
+                self.least = {second[first[-1]]: docs[first[-1]]} if has[-1] else {}
+            self.last = h[-1]
+        return out
+
+
+def _answers(h: list[np.ndarray], docs: list[np.ndarray], route: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Packed hashes per document."""
+    h, docs, route = np.concatenate(h), np.concatenate(docs), np.concatenate(route)
+    order = np.lexsort((h, route, docs))
+    h, docs, route = h[order], docs[order], route[order]
+    new = np.r_[True, (docs[1:] != docs[:-1]) | (route[1:] != route[:-1])]
+    keep = new.copy()
+    keep[1:] |= h[1:] != h[:-1]
+    h, docs, route, new = h[keep], docs[keep], route[keep], new[keep]
+    begin = np.flatnonzero(new)
+    packed = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer((8 * np.r_[begin, len(h)]).astype(np.int32)), pa.py_buffer(h)])
+    made = pa.RecordBatch.from_arrays([pa.array(docs[begin]), pa.array(route[begin]), packed], schema=_ANSWERS)
+    for at in range(0, len(made), 4096):
+        yield made.slice(at, 4096)
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scan = _Scan()
+    held: list[list[np.ndarray]] = []
+    found: list[list[np.ndarray]] = []
+    n_held = n_found = 0
+
+    def settle() -> None:
+        nonlocal n_held, n_found
+        if held:
+            h, docs, low, known = (np.concatenate(x) for x in zip(*held))
+            at = np.flatnonzero(scan.later(h, docs, low >> 16, known))
+            found.append([h[at], docs[at], low[at] & 0xFFFF])
+            n_found += len(at)
+            held.clear()
+            n_held = 0
+
+    for batch in batches:
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in _RECORDS.names])
+        n_held += len(batch)
+        if n_held >= RECORDS_AT_ONCE:
+            settle()
+            if n_found >= ANSWERS_AT_ONCE:
+                yield from _answers(*zip(*found))
+                found.clear()
+                n_found = 0
+    settle()
+    if n_found:
+        yield from _answers(*zip(*found))
+    common.trim()
+
+
+def repeated_windows(docs: DataFrame, width: int, n_buckets: int) -> DataFrame:
+    """doc_id, route and hits: the hashes of windows that also start in a document of smaller doc_id, packed; staged."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
+    sent = plain.withColumn("route", _route()).mapInArrow(_sender(width, n_buckets), "bucket long, records binary")
+    records = sent.repartition("bucket").mapInArrow(_unpack, "h long, doc_id long, low int, known boolean")
+    answers = records.sortWithinPartitions("h", "doc_id").mapInArrow(_scan, "doc_id long, route int, hashes binary")
+    # Hits of one text, so no more than its windows.
+    return common.stage_table(answers.groupBy("doc_id", "route").agg(F.collect_list("hashes").alias("hits")), "windows")
+
+
+def _documents(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
     """Per row: words, words removed, the removed intervals as edges of word numbers, and the text that stays.
 
     A removed word takes the white space behind it along.
     """
-    data, offsets = common.utf8(docs["text"])
-    owner, keys = _unpacked(answers)
-    order = np.argsort(owner, kind="stable")
-    owner, keys = owner[order], keys[order]
-    ids = docs["doc_id"].cast(pa.int64()).to_pylist()
+    data, offsets = common.utf8(batch.column("text"))
+    hits = batch.column(HITS).to_pylist()
     for i, j in common.chunks(offsets):
         part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = words.bounds(part, local)
+        windows = _window_hashes(part, starts, ends, width) if any(hits[i:j]) else None
         for k in range(i, j):
             a, b = int(first[k - i]), int(first[k - i + 1])
             raw = part[local[k - i] : local[k - i + 1]]
-            low, high = np.searchsorted(owner, [ids[k], ids[k] + 1]) if ids[k] is not None else (0, 0)
-            gone = _removed(part, starts[a:b], ends[a:b], keys[low:high], width) if high > low and b - a >= width else np.zeros(b - a, bool)
-            edges = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
-            if not len(edges):
-                yield b - a, 0, edges, raw.tobytes()
+            gone = np.zeros(0, np.int64)
+            if hits[k] and b - a >= width:
+                gone = np.flatnonzero(np.isin(windows[a : b - width + 1], np.frombuffer(b"".join(hits[k]), U)))
+            if not len(gone):
+                yield b - a, 0, gone, raw.tobytes()
                 continue
+            cover = words.covered(gone, width, b - a)
+            edges = np.flatnonzero(np.diff(np.r_[0, cover.astype(np.int8), 0]))
             begin = np.r_[starts[a:b] - local[k - i], len(raw)]
             stay = np.ones(len(raw), bool)
-            for x, y in zip(edges[::2], edges[1::2]):
+            for x, y in zip(edges[::2].tolist(), edges[1::2].tolist()):
                 stay[begin[x] : begin[y]] = False
-            yield b - a, int(gone.sum()), edges, raw[stay].tobytes()
+            yield b - a, int(cover.sum()), edges, raw[stay].tobytes()
 
 
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), ("kept_text", pa.string())])
@@ -194,57 +261,82 @@ _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_remove
 def _report(width: int, with_text: bool):
     schema = _RESULT if with_text else pa.schema(list(_RESULT)[:-1])
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = [(n, gone, hashlib.sha256(b" ".join(kept.split())).hexdigest(), [{"first": int(x), "last": int(y) - 1} for x, y in zip(edges[::2], edges[1::2])], kept if with_text else None) for n, gone, edges, kept in _documents(docs, answers, width)]
-        columns = [docs["doc_id"].cast(pa.int64()).combine_chunks()]
-        for k, field in enumerate(list(schema)[1:]):
-            values = [r[k] for r in rows]
-            columns.append(pa.array(values, pa.binary()).cast(pa.string()) if field.name == "kept_text" else pa.array(values, field.type))
-        return pa.Table.from_arrays(columns, schema=schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(n, gone, hashlib.sha256(b" ".join(kept.split())).hexdigest(), [{"first": int(x), "last": int(y) - 1} for x, y in zip(edges[::2], edges[1::2])], kept if with_text else None) for n, gone, edges, kept in _documents(batch, width)]
+            columns = [batch.column("doc_id").cast(pa.int64())]
+            for k, field in enumerate(list(schema)[1:]):
+                values = [r[k] for r in rows]
+                columns.append(pa.array(values, pa.binary()).cast(pa.string()) if field.name == "kept_text" else pa.array(values, field.type))
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        common.trim()
 
     return run
 
 
 def _rewrite(width: int):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = [(gone, kept) for _, gone, _, kept in _documents(docs, answers, width)]
-        changed = pa.array([gone > 0 for gone, _ in rows], pa.bool_())
-        text = pc.if_else(changed, pa.array([kept for _, kept in rows], pa.binary()).cast(docs["text"].type), docs["text"])
-        names = [n for n in docs.schema.names if n != PART]
-        out = {n: docs[n] for n in names} | {"text": text}
-        if "n_chars" in out:
-            out["n_chars"] = pc.if_else(changed, pc.utf8_length(text).cast(out["n_chars"].type), out["n_chars"])
-        return pa.Table.from_arrays([out[n] for n in names], names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(gone, kept) for _, gone, _, kept in _documents(batch, width)]
+            changed = pa.array([gone > 0 for gone, _ in rows], pa.bool_())
+            text = pc.if_else(changed, pa.array([kept if gone else None for gone, kept in rows], pa.binary()).cast(batch.column("text").type), batch.column("text"))
+            names = [n for n in batch.schema.names if n != HITS]
+            out = {n: batch.column(n) for n in names} | {"text": text}
+            if "n_chars" in out:
+                out["n_chars"] = pc.if_else(changed, pc.utf8_length(text).cast(out["n_chars"].type), out["n_chars"])
+            yield pa.RecordBatch.from_arrays([out[n] for n in names], names)
+        common.trim()
 
     return run
 
 
-def _apply(docs: DataFrame, width: int, function, schema) -> DataFrame:
-    """Finds the repeated windows of docs and applies them to each part of it."""
+def _with_hits(docs: DataFrame, width: int) -> DataFrame:
+    """docs with the packed hashes that each row loses, or null."""
     common.small_batches(docs.sparkSession)
     n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    n_parts = max(8, math.ceil(n_bytes / PART_BYTES)) | 1
-    found = repeated_windows(docs, width, max(8, math.ceil(n_bytes / BUCKET_BYTES)), n_parts)
+    found = repeated_windows(docs, width, max(8, math.ceil(n_bytes / BUCKET_BYTES)))
     common.release_shuffles(docs.sparkSession)
-    left = docs.withColumn(PART, _part_column(n_parts))
-    return left.groupBy(PART).cogroup(found.groupBy("part")).applyInArrow(function, schema)
+    own = docs.withColumn(ROUTE, _route())
+    joined = own.join(found, (own["doc_id"].cast("long") == found["doc_id"]) & (own[ROUTE] == found["route"]), "left")
+    return joined.select(*(own[c] for c in docs.columns), found["hits"].alias(HITS))
 
 
-def remove_substrings(docs: DataFrame, width: int = 13) -> DataFrame:
+def remove_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs, all columns, with the repeated words cut out of text, and n_chars (if there) that of the new text."""
-    return _apply(docs, width, _rewrite(width), docs.schema)
+    return _with_hits(docs, width).mapInArrow(_rewrite(width), docs.schema)
 
 
-def dedup_substrings(docs: DataFrame, width: int = 13, with_text: bool = True) -> DataFrame:
+def dedup_substrings(docs: DataFrame, width: int = WIDTH, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, removed (first and last word of each interval) and kept_text.
 
     kept_text is the text without the removed words and the white space that follows them.
     """
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<first: long, last: long>>" + ", kept_text string" * with_text
-    return _apply(plain, width, _report(width, with_text), ddl)
+    return _with_hits(plain, width).mapInArrow(_report(width, with_text), ddl)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     out = dedup_substrings(common.read_documents(spark, sf_dir), with_text=False)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("removed").cast("long").alias("n_intervals"))
+
+
+OP3_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+, windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i : i + {WIDTH - 1}], ' ') AS k
+  FROM (SELECT r, doc_id, w, unnest(range(1, greatest(len(w) - {WIDTH - 1}, 0) + 1)) AS i FROM d WHERE doc_id IS NOT NULL)
+), least AS (SELECT k, min(doc_id) AS least FROM windows GROUP BY k)
+, lost AS (SELECT r, i FROM windows JOIN least USING (k) WHERE least < doc_id)
+, placed AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d)
+, marked AS (
+  SELECT p.r, p.i, p.word, coalesce(max(l.i) OVER (PARTITION BY p.r ORDER BY p.i ROWS BETWEEN {WIDTH - 1} PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+  FROM placed p LEFT JOIN lost l ON p.r = l.r AND p.i = l.i
+), edged AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS opens FROM marked)
+, told AS (
+  SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_intervals, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
+  FROM edged GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256, CAST(coalesce(n_intervals, 0) AS BIGINT) AS n_intervals
+FROM d LEFT JOIN told USING (r)
+"""
