@@ -1,15 +1,22 @@
 """Exact top-k search by inner product with vector-approximation files.
 
-Every vector is stored twice: as cells of a few bits per component, and exactly. A query scans the
-cells, which bound each score from above and below; then it reads exact vectors in the order of their
-bounds until no unread vector can reach the k-th best score found. Both are packed in blocks; blocks
-of queries (a stated set) meet blocks of vectors, each pair keeps at most k results per query, and
-the k best of those are the answer. The work is the number of queries times the number of rows.
+Equal vectors are one node, with the k + 1 smallest vec_ids that have it: no others can be among k
+results. Nodes are stored as cells of a few bits per component, in blocks, apart from the exact
+vectors. Queries (a stated set, equal ones once) scan the cells alone: one product of a query with the
+cells' middles, and one error per query and block, bound each score from both sides. A task carries
+each query's best lower bounds from block to block, and the best of all tasks decide which nodes stay.
+Exact vectors are then read by node, first those of the highest upper bounds; the k-th exact score
+found says which others must be read too. The work is the number of queries times the number of rows.
+
+Bounds are floats, widened by the error that rounding can make; exact scores are sums of integers, as
+decimals where 64 bits might not hold them.
 
 Defined results: vectors that are null or hold null, NaN or infinite components take no part, nor do
-rows of null vec_id; vectors of different length are not compared, and an empty vector scores 0; rows that share a query's
-vec_id are its own; queries that share a vec_id count once, by the smallest vector; repeated
-candidate rows count each; other columns are ignored.
+rows of null vec_id, nor vectors with a component of 2 ** 42 or more in size, whose scores are no
+longs; scores beyond the range of long are ordered as they are and shown as its ends; vectors of
+different length are not compared, and an empty vector scores 0; rows that share a query's vec_id are
+its own; queries that share a vec_id count once, by the smallest vector; repeated candidate rows count
+each; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,119 +25,187 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codalith.llm import common
 
 K, SCALE, QUERY_EVERY = 10, 1024, 100
-#: Bits of a cell, vectors in a block, queries in a block.
-CELL_BITS, BLOCK_ROWS, QUERY_ROWS = 6, 8192, 512
+#: Bits of a cell, nodes in a block, queries in a block.
+CELL_BITS, BLOCK_ROWS, QUERY_ROWS = 6, 4096, 256
+#: Scaled components are smaller, so a sum of products has at most 38 digits.
+LIMIT = float(1 << 52)
 
-_BLOCK = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("cells", pa.binary()), ("bounds", pa.binary()), ("vectors", pa.binary())])
+_BLOCK = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("cells", pa.binary()), ("edges", pa.binary())])
 
 
 def _quantised(embeddings: DataFrame, scale: int) -> DataFrame:
     """(vec_id, dim, v): vectors that take part, as integers floor(scale * x)."""
-    whole = F.transform(F.col("embedding"), lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("long"))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    usable = embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine)
-    return usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), whole.alias("v"))
+    scaled = lambda x: F.floor(x.cast("double") * F.lit(float(scale)))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double") * F.lit(float(scale))) < F.lit(LIMIT)))
+    usable = embeddings.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(F.coalesce(fine, F.lit(False)))
+    return usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), F.transform("embedding", lambda x: scaled(x).cast("long")).alias("v"))
 
 
-def _cells(v: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cell numbers and, per component, the cells' edges: the block's range cut in equal parts."""
-    n = 1 << bits
+def cells_of(v: np.ndarray, bits: int = CELL_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Cell numbers and, per component, the lowest value and the width of a cell: the block's range cut in equal parts."""
     low, high = v.min(axis=0), v.max(axis=0)
-    width = -(-(high - low + 1) // n)
+    width = -(-(high - low + 1) // (1 << bits))
     return ((v - low) // width).astype(np.uint8), np.stack([low, width])
 
 
-def _pack(rows: int, bits: int):
+def bounds(q: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each query (a row of q) and each row of cells a score, and for each query the most that it is off by."""
+    low, width = edges[0].astype(np.float64), edges[1].astype(np.float64)
+    step = q * width  # of one cell
+    base = q @ (low + (width - 1) / 2)
+    inner = (step.astype(np.float32) @ cells.T.astype(np.float32)).astype(np.float64)
+    # A float's last place, for each of dim products and sums and for what was rounded before.
+    rounding = (len(low) + 8) * 2.0**-23 * (np.abs(step) @ np.full(len(low), float(int(cells.max(initial=0)) + 1)) + np.abs(q) @ np.abs(low + width))
+    return inner + base[:, None], np.abs(q) @ ((width - 1) / 2) + rounding
+
+
+def _rows(batch: pa.RecordBatch, id_column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    dims = batch.column("dim").to_numpy(zero_copy_only=False)
+    return dims, batch.column(id_column).to_numpy(zero_copy_only=False), batch.column("v").flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(dims)]
+
+
+def _pack(rows: int, make, schema: pa.Schema, id_column: str):
+    """Blocks of at most rows vectors of one length; make(ids, vectors) gives their binary columns."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+
+        def block(dim: int) -> pa.RecordBatch:
+            ids, v = (np.concatenate(x) for x in zip(*held.pop(dim)))
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((dim, *make(ids, v)), schema)], schema=schema)
+
         for batch in batches:
-            dims = batch.column("dim").to_numpy(zero_copy_only=False)
-            ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-            lists = batch.column("v")
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            begin = np.r_[0, np.cumsum(dims)]
+            dims, ids, flat, begin = _rows(batch, id_column)
             for dim in np.unique(dims).tolist():
                 own = np.flatnonzero(dims == dim)
-                for at in range(0, len(own), rows):
-                    pick = own[at : at + rows]
-                    v = flat[begin[pick][:, None] + np.arange(dim)[None, :]].reshape(len(pick), dim)
-                    cells, edges = _cells(v, bits)
-                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((dim, ids[pick].astype(np.int64).tobytes(), cells.tobytes(), edges.tobytes(), v.tobytes()), _BLOCK)], schema=_BLOCK)
+                while len(own):
+                    room = rows - sum(len(x) for x, _ in held.get(dim, []))
+                    pick, own = own[:room], own[room:]
+                    held.setdefault(dim, []).append((ids[pick].astype(np.int64), flat[begin[pick][:, None] + np.arange(dim)[None, :]].reshape(len(pick), dim).astype(np.int64)))
+                    if len(pick) == room:
+                        yield block(dim)
+        for dim in list(held):
+            yield block(dim)
 
     return run
 
 
-def blocks(vectors: DataFrame, rows: int, bits: int = CELL_BITS) -> DataFrame:
-    """Packed blocks of (vec_id, dim, v): ids, cells, cell edges and exact vectors."""
-    return vectors.mapInArrow(_pack(rows, bits), "dim int, ids binary, cells binary, bounds binary, vectors binary")
-
-
-def search_block(q: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, cells: np.ndarray, edges: np.ndarray, v: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """For each query: its number, the rows and scores of its k best in the block, and how many exact vectors it read."""
-    low_edge = (edges[0] + cells * edges[1]).astype(np.float64)
-    high_edge = low_edge + (edges[1] - 1)
-    up, down = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
-    # Sums of integers below 2 ** 53 are exact in doubles, in any order of summation.
-    upper = up @ high_edge.T + down @ low_edge.T
-    lower = up @ low_edge.T + down @ high_edge.T
-    for n in range(len(q)):
-        usable = ids != q_ids[n]
-        high = np.where(usable, upper[n], -np.inf)
-        count = int(usable.sum())
-        if not count:
-            continue
-        want = min(k, count)
-        floor = np.partition(np.where(usable, lower[n], -np.inf), len(ids) - want)[len(ids) - want]
-        near = np.flatnonzero(high >= floor)  # the rest can't be among the k best
-        near = near[np.argsort(-high[near], kind="stable")]
-        rows, scores, read, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, max(4 * k, 64)
-        while read < len(near):
-            part = near[read : read + step]
-            rows, scores = np.r_[rows, part], np.r_[scores, v[part] @ q[n]]
-            read += len(part)
-            best = np.lexsort((ids[rows], -scores))[:want]
-            rows, scores = rows[best], scores[best]
-            if read < len(near) and len(rows) == want and high[near[read]] < scores[-1]:
-                break  # every unread vector scores below the k-th
-        yield n, rows, scores, read
+def _data_block(ids: np.ndarray, v: np.ndarray) -> tuple[bytes, ...]:
+    cells, edges = cells_of(v)
+    return ids.tobytes(), cells.tobytes(), edges.tobytes()
+
+
+class Scan:
+    """A block of queries on its way through blocks of cells: the best lower bounds, and what may be a result."""
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
+        self.ids, self.q, self.k = ids, q, k
+        self.best = np.full((len(q), k), -np.inf)  # each query's k best lower bounds, the k-th in front
+        self.found: list[tuple[np.ndarray, ...]] = []
+
+    def meet(self, ids: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> None:
+        score, off = bounds(self.q, cells, edges)
+        if len(ids) > self.k and not np.isfinite(self.best[:, 0]).all():
+            top = np.partition(score, len(ids) - self.k, axis=1)[:, len(ids) - self.k :] - off[:, None]
+            self.best = np.sort(np.c_[self.best, top], axis=1)[:, -self.k :]
+            which, row = np.nonzero(score + off[:, None] >= self.best[:, :1])
+        else:
+            which, row = np.nonzero(score + off[:, None] >= self.best[:, :1])
+            for n in np.unique(which).tolist():
+                low = score[n, row[which == n]] - off[n]
+                if low.max() > self.best[n, 0]:
+                    self.best[n] = np.sort(np.r_[self.best[n], low])[-self.k :]
+        self.found.append((which, ids[row], score[which, row], off[which]))
+
+    def close(self) -> pa.RecordBatch:
+        which, node, score, off = (np.concatenate(x) for x in zip(*self.found))
+        near = score + off >= self.best[which, 0]
+        which, node, score, off = which[near], node[near], score[near], off[near]
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[which]), pa.array(node), pa.array(score - off), pa.array(score + off)], ["u", "node", "lower", "upper"])
 
 
 def _meet(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, scan = None, None
         for batch in batches:
             for row in batch.to_pylist():
                 dim = row["dim"]
-                ids, v = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], np.int64).reshape(-1, dim) if dim else np.zeros((len(row["ids"]) // 8, 0), np.int64)
-                cells, edges = np.frombuffer(row["cells"], np.uint8).reshape(len(ids), dim), np.frombuffer(row["bounds"], np.int64).reshape(2, dim)
-                q_ids = np.frombuffer(row["q_ids"], np.int64)
-                q = np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), dim)
-                out = [(np.full(len(r), q_ids[n]), ids[r], s) for n, r, s, _ in search_block(q, q_ids, ids, cells, edges, v, k)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["query_id", "vec_id", "score"])
+                if scan is None or row["q_ids"] != now:
+                    if scan is not None:
+                        yield scan.close()
+                    now, q_ids = row["q_ids"], np.frombuffer(row["q_ids"], np.int64)
+                    scan = Scan(q_ids, np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), dim).astype(np.float64), k)
+                ids = np.frombuffer(row["ids"], np.int64)
+                scan.meet(ids, np.frombuffer(row["cells"], np.uint8).reshape(len(ids), dim), np.frombuffer(row["edges"], np.int64).reshape(2, dim))
+        if scan is not None:
+            yield scan.close()
+        common.trim()
 
     return run
 
 
+def _product(a: str, b: str) -> Column:
+    """The exact inner product of two arrays of long."""
+    kind = "decimal(38,0)"
+    largest = lambda c: F.coalesce(F.array_max(F.transform(c, lambda x: F.abs(x).cast("double"))), F.lit(0.0))
+    short = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x).cast(kind)
+    long = F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("decimal(19,0)") * y.cast("decimal(19,0)")).cast(kind)), F.lit(0).cast(kind), lambda s, x: (s + x).cast(kind))
+    return F.when(largest(a) * largest(b) * F.size(a) < float(1 << 62), short).otherwise(long)
+
+
 def top_k(embeddings: DataFrame, is_query, k: int = K, scale: int = SCALE) -> DataFrame:
-    """query_id, rank, vec_id, score: the k rows of highest inner product for each row that is_query selects."""
+    """query_id, rank, vec_id, score: the k rows of highest inner product for each row that is_query, a condition on vec_id, selects."""
     spark = embeddings.sparkSession
-    rows = _quantised(embeddings, scale)
-    data = common.stage_table(blocks(rows, BLOCK_ROWS), "vectors")
-    chosen = rows.where(is_query).groupBy("vec_id", "dim").agg(F.min("v").alias("v")).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.dim", "q.v")
-    queries = blocks(chosen, QUERY_ROWS).select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    common.small_batches(spark)
+    rows = _quantised(embeddings, scale).groupBy("dim", "v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).alias("times"))
+    rows = common.stage_table(rows, "vectors")
+    first = F.row_number().over(Window.partitionBy("dim", "v").orderBy("vec_id"))
+    nodes = rows.withColumn("n", first).where(F.col("n") <= k + 1).groupBy("dim", "v").agg(F.collect_list(F.struct("vec_id", "times")).alias("members"))  # k + 1 at most
+    nodes = common.stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+
+    chosen = rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q"), F.sum("times").alias("own"))
+    queries = chosen.select("vec_id", "own", F.col("q.dim").alias("dim"), F.col("q.v").alias("v")).join(nodes.select("dim", "v", F.col("node").alias("u")), ["dim", "v"]).select(F.col("vec_id").alias("query_id"), "own", "u")
+    queries = common.stage_table(queries, "queries")
+    own = queries.agg(F.max("own")).first()[0] or 0
+    want = k + own  # so many rows, and so many nodes, hold k that aren't the query's own
+
     # Each block of queries is dealt to all groups of data blocks, so that no task holds all of either side.
     groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    data = nodes.select("node", "dim", "v").mapInArrow(_pack(BLOCK_ROWS, _data_block, _BLOCK, "node"), "dim int, ids binary, cells binary, edges binary")
     data = data.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)))
-    queries = queries.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("g"))
-    found = data.join(queries, ["g", "dim"]).select("dim", "ids", "cells", "bounds", "vectors", "q_ids", "q_vectors").mapInArrow(_meet(k), "query_id long, vec_id long, score long")
-    best = found.groupBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(16))).agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))).alias("r")).select("query_id", F.slice("r", 1, k).alias("r"))
-    merged = best.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("r"))), 1, k).alias("r"))
-    return merged.select("query_id", F.posexplode("r").alias("at", "x")).select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
+    vectors = nodes.join(queries.select("u").distinct(), F.col("node") == F.col("u"), "left_semi").select("node", "dim", "v")
+    _QUERY = pa.schema([("dim", pa.int32()), ("q_ids", pa.binary()), ("q_vectors", pa.binary())])
+    asked = vectors.mapInArrow(_pack(QUERY_ROWS, lambda ids, v: (ids.tobytes(), v.tobytes()), _QUERY, "node"), "dim int, q_ids binary, q_vectors binary")
+    asked = asked.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    # The merge join brings the blocks of data to a block of queries one after another.
+    met = asked.join(data.hint("merge"), ["g", "dim"]).select("dim", "q_ids", "q_vectors", "ids", "cells", "edges")
+    found = common.stage_table(met.mapInArrow(_meet(want), "u long, node long, lower double, upper double"), "bounds")
+
+    def kth(scores: DataFrame, column: str) -> DataFrame:
+        """u and the want-th largest value of column, or null where there are fewer."""
+        ranked = scores.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.col(column).desc()))).where(F.col("n") <= want)
+        return ranked.groupBy("u").agg(F.when(F.count("*") == want, F.min(column)).alias("least"))
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        asked = nodes.select(F.col("node").alias("u"), F.col("v").alias("q"))
+        return pairs.join(nodes.select("node", "v", "members"), "node").join(asked, "u").select("u", "members", _product("v", "q").alias("score"))
+
+    near = found.join(kth(found, "lower"), "u").where("least IS NULL OR upper >= least").select("u", "node", "upper")
+    near = common.stage_table(near.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.col("upper").desc(), "node"))), "near")
+    read = common.stage_table(exact(near.where(F.col("n") <= want)), "read")
+    more = near.where(F.col("n") > want).join(kth(read, "score"), "u").where("least IS NULL OR upper >= least")
+    scored = read.union(exact(more)).select("u", "score", F.explode("members").alias("m")).select("u", "score", "m.vec_id", F.explode(F.array_repeat(F.lit(1), F.col("m.times").cast("int"))))
+    ranked = scored.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.col("score").desc(), "vec_id"))).where(F.col("n") <= want)
+    lists = ranked.groupBy("u").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("r"))  # want rows at most
+    mine = queries.join(lists, "u").select("query_id", F.posexplode(F.slice(F.filter("r", lambda x: x["vec_id"] != F.col("query_id")), 1, k)).alias("at", "x"))
+    shown = F.greatest(F.least(F.col("x.score"), F.lit(2**63 - 1).cast("decimal(38,0)")), F.lit(-(2**63)).cast("decimal(38,0)")).cast("long")
+    return mine.select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), shown.alias("score"))
 
 
 def op4_exact_topk(spark, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from codalith.llm import chat, vector_search
@@ -27,15 +28,37 @@ def test_top_k_equals_brute_force(spark):
     assert vector_search.top_k(df.where("false"), F.col("vec_id") % 100 == 0).count() == 0
 
 
-def test_a_block_reads_few_exact_vectors():
+@pytest.mark.parametrize("size", [0.3, 3e9])
+def test_bounds_hold_and_few_exact_vectors_are_read(size):
     random = np.random.default_rng(4)
-    v = np.floor(1024 * random.normal(size=(4000, 16))).astype(np.int64)
-    cells, edges = vector_search._cells(v, vector_search.CELL_BITS)
+    v = np.floor(1024 * size * random.normal(size=(4000, 16))).astype(np.int64)
     ids = np.arange(4000)
-    for n, rows, scores, read in vector_search.search_block(v[:20], ids[:20], ids, cells, edges, v, 10):
-        exact = v @ v[n]
-        exact[n] = -(2**60)
-        assert scores.tolist() == sorted(exact.tolist(), reverse=True)[:10] and read < 1000
+    scan = vector_search.Scan(ids[:20], v[:20].astype(np.float64), 11)
+    for at in range(0, 4000, 1000):
+        cells, edges = vector_search.cells_of(v[at : at + 1000])
+        scan.meet(ids[at : at + 1000], cells, edges)
+    rows = scan.close().to_pydict()
+    exact = {(n, k): int(sum(int(x) * int(y) for x, y in zip(v[n], v[k]))) for n in range(20) for k in range(4000)}
+    assert all(low <= exact[u, k] <= high for u, k, low, high in zip(rows["u"], rows["node"], rows["lower"], rows["upper"]))
+    for n in range(20):
+        best = sorted(range(4000), key=lambda k: -exact[n, k])[:11]  # noqa: B023
+        near = {k for u, k in zip(rows["u"], rows["node"]) if u == n}
+        assert near.issuperset(best) and len(near) < 400
+
+
+def test_large_components_and_many_copies(spark):
+    random = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in random.normal(size=4) * 2.0**30]) for i in range(120)]
+    rows += [(200 + i, rows[3][1]) for i in range(210)] + [(500, rows[5][1]), (500, rows[5][1]), (600, rows[5][1]), (600, rows[6][1]), (700, [1e300, 0.0, 0.0, 0.0]), (701, [2.0**43, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    usable = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if max(map(abs, v)) < 2.0**42]
+    want = []
+    for i in sorted({i for i, _ in usable if i % 100 == 0}):
+        q = min(v for j, v in usable if j == i)
+        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in usable if j != i)[:10]
+        want += [(i, n + 1, j, max(-(2**63), min(2**63 - 1, -s))) for n, (s, j) in enumerate(scored)]
+    assert any(x[3] == 2**63 - 1 for x in want)
+    assert sorted(tuple(r) for r in vector_search.top_k(df, F.col("vec_id") % 100 == 0).collect()) == want
 
 
 TURNS = [
