@@ -1,18 +1,18 @@
 """Substring deduplication: every window of `width` words that also starts in an earlier document goes.
 
 Rabin-Karp hashes of all windows are taken per block of documents and reduced to one record per
-distinct window and block, the block's smallest doc_id. Records travel packed, one row per block and
-bucket of hashes; they are unpacked behind the shuffle, sorted by Spark, which spills what doesn't fit,
-and scanned once: of each window the smallest doc_id keeps it. What a document loses comes back to it
-by a join. Windows that repeat merge into maximal removal intervals.
+distinct window and block, the block's smallest doc_id. Records travel packed, a row per block and
+bucket of hashes. A bucket is read as a stream: it keeps one record per distinct window and passes on
+what a smaller doc_id takes from the others. Losses are gathered by document and joined to it. Windows
+that repeat merge into maximal removal intervals.
 
-A window that a third of all documents hold costs one record per block, not one per document. There
-are never more rows than windows: with the corpus the buckets grow in number and rows in them shrink
-to single records. No task holds a bucket or a document's copies as a whole.
+A window that a third of all documents hold costs one record per block, and its bucket no memory for
+them. There are never more rows than windows: buckets grow in number with the corpus, not in size, and
+the rows between blocks and them shrink to single records.
 
-Windows are equal if 80 bits of two independent word hashes and the bits that choose the bucket are;
-words of eight bytes or less never collide. In 10 ** 12 windows (some 6 TB) that is one wrong equality
-expected in a thousand such corpora for the smallest number of buckets.
+Windows are equal if 64 bits of one word hash, 16 bits of another and the bits that choose the bucket
+are (a millionth of a wrong equality is expected in 10 ** 12 windows, some 6 TB, with their million
+buckets); words of eight bytes or less have no equal hashes.
 
 Defined results: null text has no words; a text of fewer than `width` words loses nothing; rows that
 share a doc_id count as one document (none removes the other's windows) and each gets its own row;
@@ -36,17 +36,18 @@ from codalith.llm import common, words
 U = np.uint64
 WIDTH = 13
 BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-#: Windows in a block, which are reduced together before the shuffle; text bytes for each bucket of hashes.
-BLOCK_WINDOWS, BUCKET_BYTES = 1 << 20, 6 << 20
-#: Packed rows, records and answers that are handled at once.
-ROWS_AT_ONCE, RECORDS_AT_ONCE, ANSWERS_AT_ONCE = 32, 1 << 17, 1 << 19
+#: Windows in a block, which are reduced together before the shuffle; text bytes for each bucket of hashes and each part of the documents.
+BLOCK_WINDOWS, BUCKET_BYTES, PART_BYTES = 1 << 20, 6 << 20, 6 << 20
+#: Packed rows that go to the JVM at once.
+ROWS_AT_ONCE = 32
 
 #: Columns that deal out documents with the same doc_id and bring back what a document loses.
 ROUTE, HITS = "__codalith_route", "__codalith_hits"
 
-_SENT = pa.schema([("bucket", pa.int64()), ("records", pa.binary())])
-_RECORDS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("low", pa.int32()), ("known", pa.bool_())])
-_ANSWERS = pa.schema([("doc_id", pa.int64()), ("route", pa.int32()), ("hashes", pa.binary())])
+_PACKED = pa.schema([("bucket", pa.int64()), ("records", pa.binary())])
+_LOSSES = pa.schema([("doc_id", pa.int64()), ("route", pa.int32()), ("hits", pa.binary())])
+#: Window hashes, bits of their second hashes, doc_ids and routes, side by side.
+Records = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def _route():
@@ -60,37 +61,79 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin, np.diff(np.r_[begin, len(keys)])
 
 
-def _packed(bucket: np.ndarray, h: np.ndarray, docs: np.ndarray, low: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """Per bucket its records: all hashes, all doc_ids, all low bits."""
-    order = np.lexsort((docs, bucket))
-    bucket, h, docs, low = bucket[order], h[order], docs[order], low[order]
-    for at, n in zip(*map(np.ndarray.tolist, _runs(bucket))):
-        yield int(bucket[at]), h[at : at + n].tobytes() + docs[at : at + n].tobytes() + low[at : at + n].tobytes()
+def _pick(records: Records, at) -> Records:
+    return tuple(x[at] for x in records)
 
 
-def _block_rows(pieces: list[tuple[np.ndarray, ...]], n_buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed records of a block: questions by buckets of hashes, and in negative buckets, by documents, what is lost for certain."""
-    h, second, docs, route = (np.concatenate(x) for x in zip(*pieces))
-    pieces.clear()
+def _joined(pieces: list[Records]) -> Records:
+    return tuple(np.concatenate(x) for x in zip(*pieces))
+
+
+def first_owners(records: Records) -> tuple[np.ndarray, np.ndarray]:
+    """The places of one record per window, of its smallest doc_id (and for each of that one's routes), and of all records of larger doc_ids."""
+    h, second, docs, route = records
     order = np.argsort(h)
-    h, docs = h[order], docs[order]
-    bucket = (second % U(n_buckets)).astype(np.int64)[order]
-    low = ((second >> U(48)).astype(np.uint32)[order] << np.uint32(16)) | route[order].astype(np.uint32)
-    begin, size = _runs(h)
-    least = np.minimum.reduceat(docs, begin)
-    own = docs == np.repeat(least, size)
-    top = np.maximum.reduceat(np.where(own, low, np.uint32(0)), begin)
-    # Equal hashes of different windows, or of texts that share a doc_id, are all sent as questions.
-    mixed = (np.minimum.reduceat(np.where(own, low, np.uint32(0xFFFFFFFF)), begin) != top) | (np.maximum.reduceat(low >> np.uint32(16), begin) != np.minimum.reduceat(low >> np.uint32(16), begin))
-    asked = np.repeat(mixed, size)
-    lost = np.flatnonzero(~own & ~asked)
-    rest = np.flatnonzero(asked)
-    one = begin[~mixed]
-    # The bucket is a function of the window, so a run that isn't mixed has one.
-    rows = [*_packed(-1 - (words.mix(docs[lost].view(U)) % U(n_buckets)).astype(np.int64), h[lost], docs[lost], low[lost])]
-    rows += _packed(np.r_[bucket[one], bucket[rest]], np.r_[h[one], h[rest]], np.r_[least[~mixed], docs[rest]], np.r_[top[~mixed], low[rest]])
+    begin, size = _runs(h[order])
+    run = np.repeat(np.arange(len(begin)), size)
+    odd = np.maximum.reduceat(second[order], begin) != np.minimum.reduceat(second[order], begin)
+    if odd.any():  # equal hashes of different windows
+        among = odd[run]
+        windows = np.where(among, second[order], 0)
+        order = order[np.lexsort((windows, h[order]))]
+        change = np.r_[True, (h[order][1:] != h[order][:-1]) | (second[order][1:] != second[order][:-1])]
+        begin = np.flatnonzero(change)
+        run = np.cumsum(change) - 1
+    least = np.minimum.reduceat(docs[order], begin)
+    own = docs[order] == least[run]
+    top = np.maximum.reduceat(np.where(own, route[order], np.uint16(0)), begin)
+    several = np.minimum.reduceat(np.where(own, route[order], np.uint16(0xFFFF)), begin) != top
+    place = np.full(len(begin), len(order))
+    np.minimum.at(place, run[own], np.flatnonzero(own))
+    extra = np.flatnonzero(own & several[run])
+    return order[np.r_[place[~several], extra]], order[~own]
+
+
+def _pack(bucket: np.ndarray, records: Records) -> Iterator[tuple[int, bytes]]:
+    """Per bucket its records in order of documents: how many documents, their ids, counts and routes, second hashes, hashes."""
+    order = np.lexsort((records[3], records[2], bucket))
+    bucket, (h, second, docs, route) = bucket[order], _pick(records, order)
+    change = np.r_[True, (docs[1:] != docs[:-1]) | (route[1:] != route[:-1]) | (bucket[1:] != bucket[:-1])] if len(docs) else np.zeros(0, bool)
+    one = np.flatnonzero(change)
+    count = np.diff(np.r_[one, len(docs)]).astype(np.uint32)
+    begin, size = _runs(bucket)
+    first = np.r_[np.searchsorted(one, begin), len(one)]
+    for k, (at, n) in enumerate(zip(begin.tolist(), size.tolist())):
+        i, j = first[k], first[k + 1]
+        own = one[i:j]
+        yield int(bucket[at]), b"".join((np.int64(j - i).tobytes(), docs[own].tobytes(), count[i:j].tobytes(), route[own].tobytes(), second[at : at + n].tobytes(), h[at : at + n].tobytes()))
+
+
+def _unpack(raw: bytes) -> Records:
+    m = int(np.frombuffer(raw, np.int64, 1)[0])
+    n = (len(raw) - 8 - 14 * m) // 10
+    docs, count, route = (np.frombuffer(raw, kind, m, 8 + at * m) for kind, at in ((np.int64, 0), (np.uint32, 8), (np.uint16, 12)))
+    second, h = np.frombuffer(raw, np.uint16, n, 8 + 14 * m), np.frombuffer(raw, U, n, 8 + 14 * m + 2 * n)
+    return h, second, np.repeat(docs, count), np.repeat(route, count)
+
+
+def _batches(rows: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(rows), ROWS_AT_ONCE):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + ROWS_AT_ONCE]), _SENT)], schema=_SENT)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at : at + ROWS_AT_ONCE]), _PACKED)], schema=_PACKED)
+
+
+def _part(records: Records, n_parts: int) -> np.ndarray:
+    """The part of the documents that a record's document is in."""
+    return (words.mix(records[2].view(U) ^ words.mix(records[3].astype(U))) % U(n_parts)).astype(np.int64)
+
+
+def _block_rows(pieces: list[Records], buckets: list[np.ndarray], n_parts: int) -> Iterator[pa.RecordBatch]:
+    """What a block asks, by buckets of hashes, and what its documents lose to each other, by parts as negative buckets."""
+    records, bucket = _joined(pieces), np.concatenate(buckets)
+    pieces.clear()
+    buckets.clear()
+    kept, lost = first_owners(records)
+    taken = _pick(records, lost)
+    yield from _batches([*_pack(-1 - _part(taken, n_parts), taken), *_pack(bucket[kept], _pick(records, kept))])
 
 
 def _window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
@@ -98,13 +141,14 @@ def _window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width
     return words.mix(words.rolling(words.hashes(data, starts, ends), width, BASE))
 
 
-def _sender(width: int, n_buckets: int):
+def _sender(width: int, n_buckets: int, n_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: list[tuple[np.ndarray, ...]] = []
+        pieces: list[Records] = []
+        buckets: list[np.ndarray] = []
         held = 0
         for batch in batches:
             data, offsets = common.utf8(batch.column("text"))
-            ids, route = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("route").to_numpy(zero_copy_only=False)
+            ids, route = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("route").to_numpy(zero_copy_only=False).astype(np.uint16)
             for i, j in common.chunks(offsets):
                 part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 starts, ends, first = words.bounds(part, local)
@@ -112,118 +156,104 @@ def _sender(width: int, n_buckets: int):
                 if not len(at):
                     continue
                 second = words.mix(words.rolling(words.hashes(part, starts, ends, 1), width, SECOND_BASE)[at])
-                pieces.append((_window_hashes(part, starts, ends, width)[at], second, np.repeat(ids[i:j], n_windows), np.repeat(route[i:j].astype(np.uint16), n_windows)))
+                buckets.append((second % U(n_buckets)).astype(np.int64))
+                pieces.append((_window_hashes(part, starts, ends, width)[at], (second >> U(48)).astype(np.uint16), np.repeat(ids[i:j], n_windows), np.repeat(route[i:j], n_windows)))
                 held += len(at)
                 if held >= BLOCK_WINDOWS:
-                    yield from _block_rows(pieces, n_buckets)
+                    yield from _block_rows(pieces, buckets, n_parts)
                     held = 0
         if held:
-            yield from _block_rows(pieces, n_buckets)
+            yield from _block_rows(pieces, buckets, n_parts)
         common.trim()
 
     return run
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per record."""
+def _by_bucket(batches: Iterator[pa.RecordBatch], take) -> Iterator[pa.RecordBatch]:
+    """take(bucket) gives two functions: what to do with some records, and what at the bucket's end."""
+    now, add, end = None, None, None
     for batch in batches:
         for bucket, raw in zip(batch.column("bucket").to_pylist(), batch.column("records")):
-            raw = raw.as_buffer()
-            n = raw.size // 20
-            columns = [pa.array(np.frombuffer(raw, kind, n, at * n)) for kind, at in ((np.int64, 0), (np.int64, 8), (np.int32, 16))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, bucket < 0))], schema=_RECORDS)
-
-
-class _Scan:
-    """Of records sorted by hash and doc_id: which windows also stand for a smaller doc_id."""
-
-    def __init__(self) -> None:
-        self.last, self.least = None, {}  # the hash that the last batch ended with, and of each of its windows the smallest doc_id
-
-    def later(self, h: np.ndarray, docs: np.ndarray, second: np.ndarray, known: np.ndarray) -> np.ndarray:
-        out = known.copy()
-        begin, size = _runs(h)
-        asks = np.flatnonzero(~known)
-        first = np.full(len(begin), len(h))
-        run = np.repeat(np.arange(len(begin)), size)
-        np.minimum.at(first, run[asks], asks)  # the first question of each run has its smallest doc_id
-        has = first < len(h)
-        lead = np.where(has, first, 0)[run[asks]]
-        alike = second[asks] == second[lead]
-        out[asks[alike & (docs[asks] > docs[lead])]] = True
-        one_by_one = set(run[asks[~alike]].tolist())
-        if self.last is not None and len(h) and h[0] == self.last:
-            one_by_one.add(0)
-        for r in one_by_one:
-            least = dict(self.least) if r == 0 and h[0] == self.last else {}
-            for k in range(begin[r], begin[r] + size[r]):
-                if not known[k]:
-                    least[second[k]] = min(docs[k], least.get(second[k], docs[k]))
-                    out[k] = docs[k] > least[second[k]]
-            if r == len(begin) - 1:
-                self.least = least
-        if len(h):
-            if len(begin) - 1 not in one_by_one:
-                self.least = {second[first[-1]]: docs[first[-1]]} if has[-1] else {}
-            self.last = h[-1]
-        return out
-
-
-def _answers(h: list[np.ndarray], docs: list[np.ndarray], route: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Packed hashes per document."""
-    h, docs, route = np.concatenate(h), np.concatenate(docs), np.concatenate(route)
-    order = np.lexsort((h, route, docs))
-    h, docs, route = h[order], docs[order], route[order]
-    new = np.r_[True, (docs[1:] != docs[:-1]) | (route[1:] != route[:-1])]
-    keep = new.copy()
-    keep[1:] |= h[1:] != h[:-1]
-    h, docs, route, new = h[keep], docs[keep], route[keep], new[keep]
-    begin = np.flatnonzero(new)
-    packed = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer((8 * np.r_[begin, len(h)]).astype(np.int32)), pa.py_buffer(h)])
-    made = pa.RecordBatch.from_arrays([pa.array(docs[begin]), pa.array(route[begin]), packed], schema=_ANSWERS)
-    for at in range(0, len(made), 4096):
-        yield made.slice(at, 4096)
-
-
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    scan = _Scan()
-    held: list[list[np.ndarray]] = []
-    found: list[list[np.ndarray]] = []
-    n_held = n_found = 0
-
-    def settle() -> None:
-        nonlocal n_held, n_found
-        if held:
-            h, docs, low, known = (np.concatenate(x) for x in zip(*held))
-            at = np.flatnonzero(scan.later(h, docs, low >> 16, known))
-            found.append([h[at], docs[at], low[at] & 0xFFFF])
-            n_found += len(at)
+            if bucket != now:
+                if end:
+                    yield from end()
+                now, (add, end) = bucket, take(bucket)
+            yield from add(_unpack(raw.as_buffer()))
+    if end:
+        yield from end()
+    common.trim()
+
+
+def _receiver(n_parts: int):
+    """Of each bucket what documents lose, by parts."""
+
+    def take(bucket: int):
+        held: list[Records] = []
+        n_held, room = 0, BLOCK_WINDOWS
+
+        def reduce() -> Iterator[pa.RecordBatch]:
+            nonlocal n_held, room
+            records = _joined(held)
+            kept, lost = first_owners(records)
+            taken = _pick(records, lost)
+            held[:] = [_pick(records, kept)]
+            n_held = len(kept)
+            room = max(BLOCK_WINDOWS, 2 * n_held)
+            yield from _batches(list(_pack(_part(taken, n_parts), taken)))
+
+        def add(records: Records) -> Iterator[pa.RecordBatch]:
+            nonlocal n_held
+            if bucket < 0:  # lost already
+                yield from _batches(list(_pack(np.full(len(records[0]), -1 - bucket), records)))
+                return
+            held.append(records)
+            n_held += len(records[0])
+            if n_held > room:
+                yield from reduce()
+
+        return add, lambda: reduce() if held else iter(())
+
+    return lambda batches: _by_bucket(batches, take)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each part the hashes that its documents lose, packed per document; a part has no more of them than windows."""
+
+    def take(part: int):
+        held: list[Records] = []
+
+        def add(records: Records) -> Iterator[pa.RecordBatch]:
+            held.append(records)
+            return iter(())
+
+        def end() -> Iterator[pa.RecordBatch]:
+            h, _, docs, route = _joined(held)
             held.clear()
-            n_held = 0
+            order = np.lexsort((h, route, docs))
+            h, docs, route = h[order], docs[order], route[order]
+            new = np.r_[True, (docs[1:] != docs[:-1]) | (route[1:] != route[:-1])]
+            fresh = new.copy()
+            fresh[1:] |= h[1:] != h[:-1]
+            h, docs, route = h[fresh], docs[fresh], route[fresh]
+            begin = np.flatnonzero(new[fresh])
+            hits = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer((8 * np.r_[begin, len(h)]).astype(np.int32)), pa.py_buffer(h)])
+            made = pa.RecordBatch.from_arrays([pa.array(docs[begin]), pa.array(route[begin].astype(np.int32)), hits], schema=_LOSSES)
+            for at in range(0, len(made), 4096):
+                yield made.slice(at, 4096)
 
-    for batch in batches:
-        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in _RECORDS.names])
-        n_held += len(batch)
-        if n_held >= RECORDS_AT_ONCE:
-            settle()
-            if n_found >= ANSWERS_AT_ONCE:
-                yield from _answers(*zip(*found))
-                found.clear()
-                n_found = 0
-    settle()
-    if n_found:
-        yield from _answers(*zip(*found))
-    common.trim()
+        return add, end
+
+    return _by_bucket(batches, take)
 
 
-def repeated_windows(docs: DataFrame, width: int, n_buckets: int) -> DataFrame:
-    """doc_id, route and hits: the hashes of windows that also start in a document of smaller doc_id, packed; staged."""
+def losses(docs: DataFrame, width: int, n_buckets: int, n_parts: int) -> DataFrame:
+    """doc_id, route and hits: the packed hashes of windows that also start in a document of smaller doc_id; staged."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
-    sent = plain.withColumn("route", _route()).mapInArrow(_sender(width, n_buckets), "bucket long, records binary")
-    records = sent.repartition("bucket").mapInArrow(_unpack, "h long, doc_id long, low int, known boolean")
-    answers = records.sortWithinPartitions("h", "doc_id").mapInArrow(_scan, "doc_id long, route int, hashes binary")
-    # Hits of one text, so no more than its windows.
-    return common.stage_table(answers.groupBy("doc_id", "route").agg(F.collect_list("hashes").alias("hits")), "windows")
+    packed = "bucket long, records binary"
+    together = lambda df: df.repartition("bucket").sortWithinPartitions("bucket")
+    asked = plain.withColumn("route", _route()).mapInArrow(_sender(width, n_buckets, n_parts), packed)
+    taken = together(asked).mapInArrow(_receiver(n_parts), packed)
+    return common.stage_table(together(taken).mapInArrow(_gather, "doc_id long, route int, hits binary"), "windows")
 
 
 def _documents(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
@@ -242,7 +272,7 @@ def _documents(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, int, np
             raw = part[local[k - i] : local[k - i + 1]]
             gone = np.zeros(0, np.int64)
             if hits[k] and b - a >= width:
-                gone = np.flatnonzero(np.isin(windows[a : b - width + 1], np.frombuffer(b"".join(hits[k]), U)))
+                gone = np.flatnonzero(np.isin(windows[a : b - width + 1], np.frombuffer(hits[k], U)))
             if not len(gone):
                 yield b - a, 0, gone, raw.tobytes()
                 continue
@@ -294,7 +324,7 @@ def _with_hits(docs: DataFrame, width: int) -> DataFrame:
     """docs with the packed hashes that each row loses, or null."""
     common.small_batches(docs.sparkSession)
     n_bytes = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    found = repeated_windows(docs, width, max(8, math.ceil(n_bytes / BUCKET_BYTES)))
+    found = losses(docs, width, max(8, math.ceil(n_bytes / BUCKET_BYTES)), max(8, math.ceil(n_bytes / PART_BYTES)))
     common.release_shuffles(docs.sparkSession)
     own = docs.withColumn(ROUTE, _route())
     joined = own.join(found, (own["doc_id"].cast("long") == found["doc_id"]) & (own[ROUTE] == found["route"]), "left")

@@ -97,3 +97,19 @@ pool.look_up(data, starts, ends, lambda new: (np.ones(len(new), np.int64), np.on
 print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
 """
     assert int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout) < 1000
+
+
+def test_first_owners_of_equal_hashes():
+    random = np.random.default_rng(1)
+    for _ in range(30):
+        n = 60
+        records = (random.integers(0, 6, n).astype(np.uint64), random.integers(0, 3, n).astype(np.uint16), random.integers(0, 5, n), random.integers(0, 2, n).astype(np.uint16))
+        rows = list(zip(*(x.tolist() for x in records)))
+        least = {}
+        for h, second, doc, _ in rows:
+            least[h, second] = min(doc, least.get((h, second), doc))
+        kept, lost = substring.first_owners(records)
+        assert {rows[k] for k in kept} == {r for r in rows if r[2] == least[r[0], r[1]]}
+        assert sorted(lost.tolist()) == [k for k, r in enumerate(rows) if r[2] > least[r[0], r[1]]]
+        again = substring._unpack(b"".join(x for _, x in substring._pack(np.zeros(n, np.int64), records)))
+        assert sorted(zip(*(x.tolist() for x in again))) == sorted(rows)
