@@ -4,10 +4,11 @@ The longest common prefix of turns (same role and text) is rendered once as the
 in either conversation is its completion. The mask of a completion lists the character spans that are
 trained on: what the assistant says with its end mark. DataFrame functions only.
 
-Defined results: null text counts as empty, null role as "unknown"; turns are ordered by turn, then
-role and text, null turns first; repeated turns stay; rows of null conv_id belong to no conversation;
-a conversation without a partner is paired with its own prompt, so that the rejected completion is empty.
-One conversation is one output row, so it must fit a row.
+Defined results: null text counts as empty, null role as "unknown", a null list of turns as an empty one
+and a null turn in it as a turn of null role and text; turns are ordered by turn, then role and text, null
+turns first; repeated turns stay; rows of null conv_id belong to no conversation; a conversation without
+an assistant's turn has nothing to prefer and gives no pair; one without a partner is paired with its own
+prompt, so that the rejected completion is empty. One conversation is one output row, so it must fit a row.
 """
 
 from __future__ import annotations
@@ -20,10 +21,15 @@ from codalith.llm import common
 OPEN, CLOSE, TRAINED = "<|im_start|>", "<|im_end|>\n", "assistant"
 
 
-def conversations(turns: DataFrame, key: str = "conv_id") -> DataFrame:
-    """(key, turns): each conversation's (role, text) in order."""
-    plain = turns.where(F.col(key).isNotNull()).select(key, F.struct("turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
-    return plain.groupBy(key).agg(F.transform(F.sort_array(F.collect_list("t")), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+def _plain(turn: Column) -> list[Column]:
+    return [F.coalesce(turn["role"], F.lit("unknown")).alias("role"), F.coalesce(turn["text"], F.lit("")).alias("text")]
+
+
+def conversations(turns: DataFrame) -> DataFrame:
+    """(pair, conv_id, turns): each conversation's (role, text) in order; conversations 2k and 2k + 1 are pair k and stay in one partition."""
+    known = turns.where(F.col("conv_id").isNotNull()).select(F.shiftright("conv_id", 1).alias("pair"), "conv_id", F.struct("turn", *_plain(F.struct("role", "text"))).alias("t"))
+    grouped = known.repartition("pair").groupBy("pair", "conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    return grouped.select("pair", "conv_id", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
 def _rendered(turn: Column) -> Column:
@@ -49,6 +55,8 @@ def _mask(turns: Column) -> Column:
 
 def format_preferences(pairs: DataFrame, pair_id: str = "pair_id") -> DataFrame:
     """pairs has pair_id, chosen and rejected (arrays of role and text); gives prompt, both completions and masks."""
+    whole = lambda c: F.coalesce(F.transform(c, lambda t: F.struct(*_plain(t))), F.array().cast("array<struct<role:string,text:string>>"))
+    pairs = pairs.select(pair_id, whole("chosen").alias("chosen"), whole("rejected").alias("rejected"))
     shorter = F.least(F.size("chosen"), F.size("rejected"))
     differs = F.zip_with(F.slice("chosen", 1, shorter), F.slice("rejected", 1, shorter), lambda a, b: ~((a["role"] == b["role"]) & (a["text"] == b["text"])))
     first = F.array_position(differs, True).cast("int")
@@ -62,14 +70,15 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
     """A pair for every conversation with an assistant's turn: chosen as it is; rejected ends with the last reply of its neighbour.
 
     Conversations 2k and 2k + 1 are neighbours: each is rejected with the other's last reply in place
-    of its own last reply, and nothing after it. Both sides of the join have one row per conversation.
+    of its own last reply, and nothing after it. Turns are shuffled once, by their pair.
     """
     own = conversations(turns).withColumn("last", F.array_position(F.reverse(F.col("turns.role")), TRAINED).cast("int"))
-    own = own.where("last > 0").select("conv_id", "turns", (F.size("turns") - F.col("last")).alias("before"))
-    reply = own.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.slice("turns", F.col("before") + 1, 1).alias("reply"))
-    joined = own.join(reply, "conv_id", "left")
-    rejected = F.concat(F.slice("turns", 1, F.col("before")), F.coalesce("reply", F.slice("turns", 1, 0)))
-    return joined.select(F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"), rejected.alias("rejected"))
+    own = own.where("last > 0").select("pair", "conv_id", "turns", (F.size("turns") - F.col("last")).alias("before"))
+    both = own.groupBy("pair").agg(F.collect_list(F.struct("conv_id", "turns", "before")).alias("both"))  # two at most
+    each = both.select("both", F.explode("both").alias("own"))
+    reply = F.flatten(F.transform(F.filter("both", lambda c: c["conv_id"] != F.col("own.conv_id")), lambda c: F.slice(c["turns"], c["before"] + 1, 1)))
+    rejected = F.concat(F.slice("own.turns", 1, F.col("own.before")), reply)
+    return each.select(F.col("own.conv_id").alias("pair_id"), F.col("own.turns").alias("chosen"), rejected.alias("rejected"))
 
 
 def _digest(name: str) -> list[Column]:

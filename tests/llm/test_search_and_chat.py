@@ -89,3 +89,12 @@ def test_prefix_of_given_pairs(spark):
     rows = {r.pair_id: r for r in chat.format_preferences(df).collect()}
     assert [rows[k].n_prompt_turns for k in (1, 2, 3, 4)] == [1, 2, 0, 0]
     assert rows[1].rejected.endswith("y<|im_end|>\n") and rows[2].chosen == "" and rows[3].prompt == ""
+
+
+def test_null_turns_of_given_pairs(spark):
+    schema = "pair_id long, chosen array<struct<role:string,text:string>>, rejected array<struct<role:string,text:string>>, prompt string"
+    df = spark.createDataFrame([(1, [("user", None), ("assistant", "x")], [("user", ""), ("assistant", None)], "p"), (2, None, [(None, "x")], "p"), (3, [None], [(None, None)], "p")], schema)
+    rows = {r.pair_id: r for r in chat.format_preferences(df).collect()}
+    assert [rows[k].n_prompt_turns for k in (1, 2, 3)] == [1, 0, 1]
+    assert rows[1].rejected == "<|im_start|>assistant\n<|im_end|>\n" and [tuple(x) for x in rows[1].rejected_mask] == [(22, 11)]
+    assert rows[2].prompt == rows[2].chosen == "" and rows[2].rejected == "<|im_start|>unknown\nx<|im_end|>\n" and rows[3].prompt == "<|im_start|>unknown\n<|im_end|>\n"
