@@ -16,7 +16,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Words of more bytes are hashed and compared one by one, not in lanes of eight bytes.
 LANE_BYTES = 64
 #: Most entries, and bytes of their words, that a SlicePool holds before it starts anew.
-CACHE_ENTRIES, CACHE_BYTES = 400_000, 32 << 20
+CACHE_ENTRIES, CACHE_BYTES = 1_000_000, 64 << 20
 _GOLDEN = 0x9E3779B97F4A7C15
 _LOW = np.array([0] + [(1 << 8 * k) - 1 for k in range(1, 9)], U)
 
