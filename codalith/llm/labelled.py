@@ -25,7 +25,8 @@ def sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, all_
     """(doc_id, text, label) of at most per_class rows for each of labels 0 and 1, or for each that occurs, the first by a hash of doc_id.
 
     The rows are chosen before the join, so what is broadcast holds per_class pairs a label at most.
-    A doc_id with several labels counts as its largest; null and held-out rows are left out.
+    A doc_id with several labels counts as its largest, one with several texts as the smallest of them;
+    null and held-out rows are left out.
     """
     usable = labels.where(f"doc_id IS NOT NULL AND {column} IS NOT NULL").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(column).cast("int").alias("label"))
     chosen = None
@@ -33,7 +34,15 @@ def sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, all_
     for value in grades or (0, 1):
         part = usable.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))
+
+
+def shares(labels: DataFrame, column: str) -> dict[int, float]:
+    """How many usable rows each label has, of all that may be learnt from: a row per label comes to the driver."""
+    usable = labels.where(f"doc_id IS NOT NULL AND {column} IS NOT NULL").where(~held_out())
+    rows = usable.groupBy(F.col(column).cast("int").alias("label")).count().collect()
+    return {r["label"]: r["count"] / sum(x["count"] for x in rows) for r in rows}
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -54,11 +63,11 @@ def newton_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float,
     return w
 
 
-def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of P(1) = sigmoid(slope * z + shift), the classes weighted alike; smoothed so that few rows can't overstate."""
+def platt(z: np.ndarray, y: np.ndarray, prior: float = 0.5) -> tuple[float, float]:
+    """Slope and shift of P(1) = sigmoid(slope * z + shift) where a share prior of all rows has label 1; smoothed so that few rows can't overstate."""
     if not len(z) or y.min() == y.max():
         return 1.0, 0.0
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
+    weight = np.where(y == 1, prior / max(1, (y == 1).sum()), (1 - prior) / max(1, (y == 0).sum())) * len(y)
     target = np.where(y == 1, 1 - 1 / (2 + (y == 1).sum()), 1 / (2 + (y == 0).sum()))
     scale = max(1e-9, float(np.std(z)))
     slope, shift = newton_logistic(np.c_[z / scale, np.ones(len(z))], target, weight, 1e-3)

@@ -1,8 +1,9 @@
 """Quality rules: fixed checks, then a calibrated logistic regression on hashed word and character n-grams.
 
-Features are counts of hashed word 1- and 2-grams and of 3- and 4-grams of bytes, each family as
-shares of a text. Platt scaling on rows that the fit didn't see makes the score a probability with
-both classes weighted alike; texts are scored in Arrow batches against the fixed threshold.
+Features are counts of hashed word 1- and 2-grams and of 3- and 4-grams of characters (code points),
+each family as shares of a text. Platt scaling on rows that the fit didn't see makes the score a
+probability at the labelled rows' own share of label 1; texts are scored in Arrow batches against the
+fixed threshold.
 
 Defined results: null text has no words and fails the base rules; without both labels in the
 training rows only the base rules decide; repeated rows are judged alike; other columns are ignored.
@@ -21,9 +22,20 @@ from codalith.llm import common, labelled, textstats, words
 
 U = np.uint64
 #: Hash space of each n-gram family, the sample's bound (documents of each label), and the fixed thresholds.
-FAMILY_BITS, PER_CLASS, KEEP = 16, 700, 0.5
+FAMILY_BITS, PER_CLASS, KEEP = 13, 700, 0.5
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WIDTH = 20, 30, 8
-FAMILIES = ("word", "word pair", "3 bytes", "4 bytes")
+FAMILIES = ("word", "word pair", "3 characters", "4 characters")
+
+
+def _characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all texts and their n + 1 offsets; broken UTF-8 gives U+FFFD."""
+    decode = lambda part: np.frombuffer(part.tobytes().decode(errors="replace").encode("utf-32-le"), np.uint32)
+    codes = decode(data)
+    leads = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+    if len(codes) == leads[-1]:
+        return codes, leads[offsets]
+    parts = [decode(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    return np.concatenate([np.zeros(0, np.uint32), *parts]), np.r_[0, np.cumsum([len(x) for x in parts])].astype(np.int64)
 
 
 def _slots(data: np.ndarray, offsets: np.ndarray, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -32,15 +44,13 @@ def _slots(data: np.ndarray, offsets: np.ndarray, h: np.ndarray, first: np.ndarr
     for width in (1, 2):
         at, counts = words.window_starts(first, width)
         yield (words.mix(words.rolling(h, width, 0x9E3779B97F4A7C15)[at]) >> shift).astype(np.int32), np.r_[0, np.cumsum(counts)]
-    raw = data.astype(np.uint32)
+    codes, edges = _characters(data, offsets)
+    codes = codes.astype(U) + U(1)
     for width in (3, 4):
-        at, counts = words.window_starts(offsets, width)
-        n = max(0, len(raw) - width + 1)
-        code = np.zeros(n, np.uint32)
-        for k in range(width):
-            code |= raw[k : k + n] << np.uint32(8 * k)
-        code *= np.uint32(0x9E3779B1)
-        yield (code >> np.uint32(32 - FAMILY_BITS)).astype(np.int32)[at], np.r_[0, np.cumsum(counts)]
+        at, counts = words.window_starts(edges, width)
+        gram = words.rolling(codes, width, 0x9E3779B97F4A7C15)
+        gram *= U(0xBF58476D1CE4E5B9)  # the upper bits are those that all bits below have reached
+        yield (gram >> shift).astype(np.int32)[at], np.r_[0, np.cumsum(counts)]
 
 
 @dataclass
@@ -74,12 +84,12 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 value, count = np.unique(slot, return_counts=True)
                 own.append(value + (f << FAMILY_BITS))
                 share.append(count / max(1, len(slot)))
-            slots.append(np.concatenate(own).astype(np.int32).tobytes())
+            slots.append(np.concatenate(own).astype(np.uint16).tobytes())
             shares.append(np.concatenate(share).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("label").cast(pa.int32()), pa.array(slots, pa.binary()), pa.array(shares, pa.binary())], ["doc_id", "label", "slots", "shares"])
 
 
-def fit(slots: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, calibrates: np.ndarray, rounds: int = 60, l2: float = 1e-4) -> NgramModel:
+def fit(slots: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, calibrates: np.ndarray, prior: float = 0.5, rounds: int = 60, l2: float = 1e-4) -> NgramModel:
     """Full-batch Adam on the logistic loss with classes weighted alike; Platt scaling on the rows that calibrate."""
     size = len(FAMILIES) << FAMILY_BITS
     empty = NgramModel(np.zeros((len(FAMILIES), 1 << FAMILY_BITS), np.float32), 0.0, 1.0, 0.0, False)
@@ -88,42 +98,35 @@ def fit(slots: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, calibr
         own, calibrates = np.arange(len(y)), np.ones(len(y), bool)
     if len(set(y.tolist())) < 2:
         return empty
-
-    def matrix(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        n = np.array([len(slots[r]) for r in rows])
-        return np.concatenate([slots[r] for r in rows]), np.concatenate([shares[r] for r in rows]), np.repeat(np.arange(len(rows)), n)
-
-    index, share, row = matrix(own)
-    used, index = np.unique(index, return_inverse=True)  # a dense vector of the slots that occur
-    power = np.bincount(index, weights=share.astype(np.float64) ** 2)
-    scale = 1 / np.sqrt(power / len(own) + 1e-8)  # n-grams rare in a text weigh as much as frequent ones
-    value = share * scale[index]
-    value /= np.sqrt(np.bincount(row, weights=value**2, minlength=len(own)))[row] + 1e-9
-    norm = 1.0
-    target = y[own].astype(float)
-    weight = np.where(target == 1, 0.5 / max(1, target.sum()), 0.5 / max(1, (1 - target).sum()))
-    w, bias, m, v = np.zeros(len(used)), 0.0, np.zeros(len(used)), np.zeros(len(used))
+    x = np.zeros((len(own), size), np.float32)  # as large for long texts as for short ones
+    for k, r in enumerate(own.tolist()):
+        x[k, slots[r]] = shares[r]
+    scale = 1 / np.sqrt((x * x).mean(axis=0) + 1e-8)  # n-grams rare in a text weigh as much as frequent ones
+    x *= scale
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True)) + 1e-9
+    target = y[own].astype(np.float32)
+    weight = np.where(target == 1, 0.5 / max(1, target.sum()), 0.5 / max(1, (1 - target).sum())).astype(np.float32)
+    w, bias, m, v = np.zeros(size, np.float32), 0.0, np.zeros(size, np.float32), np.zeros(size, np.float32)
     for step in range(1, rounds + 1):
-        z = np.bincount(row, weights=w[index] * value, minlength=len(own)) + bias
-        residual = weight * (labelled.sigmoid(z) - target)
-        gradient = np.bincount(index, weights=residual[row] * value, minlength=len(used)) + l2 * w
+        residual = weight * (labelled.sigmoid(x @ w + bias) - target).astype(np.float32)
+        gradient = residual @ x + l2 * w
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        bias -= 0.5 * residual.sum()
-    full = np.zeros(size)
-    full[used] = w * scale * norm
+        bias -= 0.5 * float(residual.sum())
+    full = w * scale
     # Scoring divides by a family's n-grams, not by a row's norm, so the bias goes to the calibration.
-    raw = lambda r: float(full[slots[r]] @ shares[r])
     check = np.flatnonzero(calibrates)
-    slope, shift = labelled.platt(np.array([raw(r) for r in check]), y[check])
+    slope, shift = labelled.platt(np.array([float(full[slots[r]] @ shares[r]) for r in check]), y[check], prior)
     return NgramModel(full.reshape(len(FAMILIES), -1).astype(np.float32), 0.0, slope, shift)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> NgramModel:
+    """Learns from at most per_class documents of each label outside the held-out fold; a document sends its distinct slots, 2 ** FAMILY_BITS a family at most."""
     rows = labelled.sample(docs, labels, "quality", per_class).mapInArrow(_sparse, "doc_id long, label int, slots binary, shares binary").toArrow().sort_by("doc_id")
-    slots = [np.frombuffer(x, np.int32) for x in rows["slots"].to_pylist()]
+    slots = [np.frombuffer(x, np.uint16) for x in rows["slots"].to_pylist()]
     shares = [np.frombuffer(x, np.float32) for x in rows["shares"].to_pylist()]
-    return fit(slots, shares, rows["label"].to_numpy(), labelled.validation_fold(rows["doc_id"].to_numpy()))
+    prior = labelled.shares(labels, "quality").get(1, 0.5)
+    return fit(slots, shares, rows["label"].to_numpy(), labelled.validation_fold(rows["doc_id"].to_numpy()), prior)
 
 
 _COLUMNS = {"n_words": pa.int64(), "word_chars": pa.int64(), "n_symbols": pa.int64(), "n_dup_lines": pa.int64(), "n_repeat_words": pa.int64(), "base_failed": pa.bool_(), "kept": pa.bool_(), "probability": pa.float64()}
@@ -137,7 +140,7 @@ def _judge(model: NgramModel, threshold: float):
             for i, j in common.chunks(offsets):
                 part, local = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 starts, ends, first = words.bounds(part, local)
-                h = words.hashes(part, starts, ends)
+                h = words.exact(part, starts, ends)
                 n_words, repeats = np.diff(first), textstats.repeated_words(h, first, REPEAT_WIDTH)
                 failed = (n_words < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * n_words)
                 p = model.probability(model.linear(part, local, h, first))

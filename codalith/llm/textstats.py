@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 from codalith.llm import words
@@ -33,7 +35,7 @@ def _sum_by(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def repeated_words(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
-    """Per document the words in windows of width words found twice or more in it, first included."""
+    """Per document the words in windows of width words found twice or more in it, first included; h tells words apart."""
     at, n_windows = words.window_starts(first, width)
     if not len(at):
         return np.zeros(len(first) - 1, np.int64)
@@ -43,8 +45,13 @@ def repeated_words(h: np.ndarray, first: np.ndarray, width: int) -> np.ndarray:
     ordered = key[order]
     same = ordered[1:] == ordered[:-1]
     hit = np.zeros(len(key), bool)
-    hit[order[1:][same]] = True
-    hit[order[:-1][same]] = True
+    one, other = order[:-1][same], order[1:][same]
+    if not all(np.array_equal(h[at[one] + j], h[at[other] + j]) for j in range(width)) or not np.array_equal(doc[one], doc[other]):
+        windows = [(d, *h[a : a + width].tolist()) for d, a in zip(doc.tolist(), at.tolist())]  # different windows of equal keys
+        seen = Counter(windows)
+        hit[:] = [seen[w] > 1 for w in windows]
+    else:
+        hit[one] = hit[other] = True
     return _sum_by(words.covered(at[hit], width, len(h)), first)
 
 
