@@ -3,11 +3,14 @@
 Only lengths decide, so the plan is made on the histogram of lengths (at most `capacity` entries,
 whatever the corpus holds) and says how often each pattern of lengths is used. A pattern is filled
 greedily, always with the longest document that fits; then its smallest document is replaced by two
-unpacked documents that fill the widened gap more tightly, if there are such two. A pattern repeats
-as long as the histogram can pay for it, so the plan's size doesn't grow with the corpus either.
+unpacked documents that fill the widened gap more tightly, if there are such two. A smallest document
+of more than a third of the capacity stays, since two in its place are missing in other sequences. A
+pattern repeats as long as the histogram can pay for it, so the plan's size doesn't grow with the
+corpus either.
 
-Pieces get their places by a number within their length: a count per (length, bucket of documents)
-gives each bucket its offset, so no length is numbered in one task.
+Pieces get their places by a number within their length: a count per (length, bucket of pieces) gives
+each bucket its offset, so no length is numbered in one task. Buckets go by a number that each piece
+gets when it is written, so equal rows are dealt out like others.
 
 Defined results: null text is an empty document, which is the end id alone; repeated doc_id rows are
 packed each; a null doc_id is packed too; other columns are ignored.
@@ -141,10 +144,10 @@ def _at_most(counts: np.ndarray, limit: int) -> int:
     return int(left[-1]) + 1 if len(left) else 0
 
 
-def _two_for(counts: np.ndarray, gap: int, better_than: int, least: int) -> tuple[int, int] | None:
-    """Two lengths left, of least or more, whose sum is at most gap, as large as can be, and larger than better_than."""
+def _two_for(counts: np.ndarray, gap: int, better_than: int) -> tuple[int, int] | None:
+    """Two lengths left whose sum is at most gap, as large as can be, and larger than better_than."""
     lengths = np.flatnonzero(counts[: gap + 1])
-    lengths = lengths[lengths >= max(1, least)]
+    lengths = lengths[lengths > 0]
     if not len(lengths):
         return None
     partner = np.searchsorted(lengths, gap - lengths, side="right") - 1
@@ -157,7 +160,11 @@ def _two_for(counts: np.ndarray, gap: int, better_than: int, least: int) -> tupl
     return (int(a[best]), int(b[best])) if best >= 0 and total[best] > better_than else None
 
 
-def _plan(counts: np.ndarray, capacity: int, least: int) -> list[tuple[tuple[int, ...], int]]:
+def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of one sequence, number of such sequences), for counts of each length."""
+    counts = np.zeros(capacity + 1, np.int64)
+    for length, n in histogram.items():
+        counts[length] = n
     plan: list[tuple[tuple[int, ...], int]] = []
     while True:
         first = _at_most(counts, capacity)
@@ -170,9 +177,9 @@ def _plan(counts: np.ndarray, capacity: int, least: int) -> list[tuple[tuple[int
             used.append(nxt)
             counts[nxt] -= 1
             gap -= nxt
-        if gap and len(used) > 1:
-            smallest = used[-1]
-            pair = _two_for(counts, gap + smallest, smallest, least)
+        smallest = used[-1]
+        if gap and len(used) > 1 and 3 * smallest <= capacity:
+            pair = _two_for(counts, gap + smallest, smallest)
             if pair:
                 used[-1:] = pair
                 counts[smallest] += 1
@@ -185,19 +192,6 @@ def _plan(counts: np.ndarray, capacity: int, least: int) -> list[tuple[tuple[int
         plan.append((tuple(sorted(used, reverse=True)), 1 + more))
 
 
-def plan_patterns(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of one sequence, number of such sequences), for counts of each length.
-
-    Short documents that complete one sequence are missing in others, so the replacing pair is sought
-    among all lengths, among those of a sixth of the capacity or more, and not at all; the plan with
-    the fewest sequences is taken, the first of equals.
-    """
-    counts = np.zeros(capacity + 1, np.int64)
-    for length, n in histogram.items():
-        counts[length] = n
-    return min((_plan(counts.copy(), capacity, least) for least in (1, capacity // 6, capacity + 1)), key=lambda plan: sum(n for _, n in plan))
-
-
 def _slots(plan: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int, int, int]]:
     """(length, first rank, last rank + 1, first sequence, offset) for every slot of every pattern."""
     used: dict[int, int] = {}
@@ -234,14 +228,14 @@ def _placer(slots: list[tuple[int, int, int, int, int]]):
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """parts (from pieces) with sequence_id and offset."""
-    parts = common.stage_table(parts, "pieces")
+    parts = common.stage_table(parts.withColumn("place", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     n_buckets = max(16, sum(histogram.values()) // BUCKET_PIECES)
-    dealt = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_buckets)).cast("int"))
+    dealt = parts.withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(n_buckets)).cast("int"))
     counted = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     # Rows of counted: a length's buckets, n_buckets at most; they are summed within the length.
     before = counted.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).select("length", "bucket", "before")
-    local = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
+    local = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("place"))
     ranked = dealt.join(before, ["length", "bucket"]).withColumn("rank", F.col("before") + local - 1)
     return ranked.select(*_PIECES.names, "rank").mapInArrow(_placer(_slots(plan_patterns(histogram, capacity))), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
