@@ -13,7 +13,7 @@ occurrence that drops none of these merges has these ids, and all others are mer
 merge side by side in arrays, one merge of each per round; long ones use a heap.
 
 Defined results: null and empty texts have no ids. U+2581 in a text stands for a space, as in the
-library, and decodes as one; all other texts decode to themselves. Repeated rows of one doc_id are
+library, and decodes as one, so such a text isn't lossless; all other texts decode to themselves. Repeated rows of one doc_id are
 segmented alike if their texts are; a null doc_id counts as 0.
 """
 
@@ -263,11 +263,12 @@ def _coder(path: str, rate: float, seed: int, with_ids: bool):
             _, offsets = common.utf8(batch.column("text"))
             doc_ids = batch.column("doc_id").cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
             for i, j in common.chunks(offsets, STEP_BYTES):
-                ids, edges, data, places = coder.encode([x or "" for x in batch.column("text").slice(i, j - i).to_pylist()], doc_ids[i:j])
+                own = [x or "" for x in batch.column("text").slice(i, j - i).to_pylist()]
+                ids, edges, _, _ = coder.encode(own, doc_ids[i:j])
                 shown = coder.decoded(ids)
                 at = np.r_[0, np.cumsum(coder.shown_length[ids])][edges]
                 crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
-                same = [np.array_equal(shown[a:b], data[c:d]) for a, b, c, d in zip(at[:-1].tolist(), at[1:].tolist(), places[:-1].tolist(), places[1:].tolist())]
+                same = [shown[a:b].tobytes() == (" " + t if t else "").encode() for a, b, t in zip(at[:-1].tolist(), at[1:].tolist(), own)]
                 columns = [batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(np.diff(edges)), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
                 names = ["doc_id", "n_ids", "ids_crc32", "lossless"]
                 if with_ids:
@@ -279,7 +280,7 @@ def _coder(path: str, rate: float, seed: int, with_ids: bool):
 
 
 def encode(docs: DataFrame, model_path: str, rate: float = RATE, seed: int = SEED, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids), lossless, and ids."""
+    """doc_id, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids), lossless (the ids decode to the text itself), and ids."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return plain.mapInArrow(_coder(model_path, rate, seed, with_ids), "doc_id long, n_ids long, ids_crc32 long, lossless boolean" + ", ids array<int>" * with_ids)
 

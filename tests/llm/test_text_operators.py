@@ -253,7 +253,7 @@ def test_merge_dropout(spark):
     dropped = merge_dropout.encode(documents(spark), path, rate=0.3)
     again = {str(r.doc_id) + str(r.n_ids): r.ids for r in merge_dropout.encode(documents(spark).coalesce(1), path, rate=0.3).collect()}
     rows = dropped.collect()
-    assert all(r.lossless and again[str(r.doc_id) + str(r.n_ids)] == r.ids for r in rows)
+    assert all(r.lossless == (r.doc_id != 9) and again[str(r.doc_id) + str(r.n_ids)] == r.ids for r in rows)  # 9 holds U+2581
     assert next(r for r in rows if r.doc_id == 6).n_ids > next(r for r in plain if r.doc_id == 6).n_ids
     decoded = {r.doc_id: r.text for r in merge_dropout.decode(dropped, path).collect() if r.doc_id is not None}
     assert all(decoded[d] == (t or "").replace("▁", " ") for d, t in by_text.items())
