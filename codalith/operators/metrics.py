@@ -78,13 +78,19 @@ def averaged_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return out.withColumn("accuracy", F.col("weighted_recall"))
 
 
+def thresholds_reached(confidence: str, n: int, steps: int) -> Column:
+    """How many of the thresholds 0, 1/steps ... (n - 1)/steps a confidence reaches; 0 if it is null."""
+    limits = F.array(*[F.lit(k / steps) for k in range(n)])
+    return F.size(F.filter(limits, lambda t: F.coalesce(F.col(confidence) >= t, F.lit(False))))
+
+
 def threshold_curve(df: DataFrame, confidence: str, ok: Column, steps: int = 20) -> DataFrame:
     """Coverage, and accuracy (0 if nothing is covered), at thresholds 0, 1/steps ... 1, from one pass over df."""
     rows = df.select(F.col(confidence).alias("c"), ok.alias("ok")).where("ok IS NOT NULL")
     at = F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("i")
-    by_value = rows.groupBy("c").agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
-    each = by_value.select("c", "n", "n_ok", at).withColumn("threshold", F.col("i") / steps)
-    above = F.coalesce(F.col("c") >= F.col("threshold"), F.lit(False))
+    by_reach = rows.groupBy(thresholds_reached("c", steps + 1, steps).alias("reach")).agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"))
+    each = by_reach.select("reach", "n", "n_ok", at).withColumn("threshold", F.col("i") / steps)
+    above = F.col("i") < F.col("reach")
     out = each.groupBy("threshold").agg(F.sum("n").alias("total"), F.sum(F.when(above, F.col("n")).otherwise(0)).alias("covered"), F.sum(F.when(above, F.col("n_ok")).otherwise(0)).alias("right"))
     return out.select("threshold", (F.col("covered") / F.col("total")).alias("coverage"), F.when(F.col("covered") > 0, F.col("right") / F.col("covered")).otherwise(0.0).alias("accuracy"))
 
@@ -104,9 +110,49 @@ def confusion_matrix(df: DataFrame, truth: str, predicted: str, classes: list[st
 
 def decile_bins(df: DataFrame, value: str, parts: int = 10) -> DataFrame:
     """df with bin, the number of the right-closed quantile interval of value (the lowest edge included); equal edges merge."""
-    edges = df.agg(F.array_distinct(F.percentile(value, F.array(*[F.lit(k / parts) for k in range(parts + 1)]))).alias("edges"))  # one row
-    number = F.greatest(F.size(F.filter("edges", lambda e: e < F.col(value))), F.lit(1))
-    return df.join(F.broadcast(edges)).withColumn("bin", F.when(F.col(value).isNotNull(), number)).drop("edges")
+    found = quantiles(df, value, [k / parts for k in range(parts + 1)]).get(None, [])
+    edges = F.array(*[F.lit(e) for e in dict.fromkeys(found)]) if found else F.array().cast("array<double>")
+    number = F.greatest(F.size(F.filter(edges, lambda e: e < F.col(value))), F.lit(1))
+    return df.withColumn("bin", F.when(F.col(value).isNotNull(), number))
+
+
+def quantiles(df: DataFrame, value: str, shares: list[float], by: Column | None = None, cells: int = 1024) -> dict:
+    """Exact quantiles of the finite values of value, between neighbours in proportion, for each group that by names (few, as they come to the driver).
+
+    No buffer holds the values: each pass counts them in cells between two bounds per asked rank, and the
+    next pass looks into the one cell that the rank lies in, until it holds a single value.
+    """
+    rows = df.select((F.lit(None).cast("string") if by is None else by).alias("g"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('infinity')")
+    whole = {r["g"]: (r["n"], r["low"], r["high"]) for r in rows.groupBy("g").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    ranks = {g: sorted({k for q in shares for k in (int((n - 1) * q), min(int((n - 1) * q) + 1, n - 1))}) for g, (n, _, _) in whole.items()}
+    #: Of each group and rank: the bounds that it lies in, and how many values lie below them.
+    open_ = {(g, k): (whole[g][1], whole[g][2], 0) for g in whole for k in ranks[g]}
+    known: dict[tuple, float] = {}
+    while open_:
+        for key in [k for k, (low, high, _) in open_.items() if low == high]:
+            known[key] = open_.pop(key)[0]
+        spans = sorted({(g, low, high) for (g, _), (low, high, _) in open_.items()}, key=str)
+        if not spans:
+            break
+        at = rows.sparkSession.createDataFrame(spans, "g string, low double, high double")  # a row per open rank
+        cell = F.least(F.floor((F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * cells), F.lit(cells - 1))
+        inside = rows.withColumnRenamed("g", "_g").join(F.broadcast(at), F.col("_g").eqNullSafe(F.col("g")) & F.col("v").between(F.col("low"), F.col("high")))
+        counted: dict[tuple, list] = {}
+        for r in inside.groupBy("g", "low", "high", cell.alias("cell")).agg(F.count("*").alias("n"), F.min("v").alias("first"), F.max("v").alias("last")).orderBy("cell").collect():
+            counted.setdefault((r["g"], r["low"], r["high"]), []).append(r)
+        for (g, k), (low, high, below) in list(open_.items()):
+            for r in counted[g, low, high]:
+                if k < below + r["n"]:
+                    open_[g, k] = (r["first"], r["last"], below)
+                    break
+                below += r["n"]
+
+    def between(g, q: float) -> float:
+        place = (whole[g][0] - 1) * q
+        low, high = known[g, int(place)], known[g, min(int(place) + 1, whole[g][0] - 1)]
+        return low + (high - low) * (place - int(place))
+
+    return {g: [between(g, q) for q in shares] for g in whole}
 
 
 def agreement(df: DataFrame, truth: str, final: str, sources: list[str], level: int = 4) -> DataFrame:

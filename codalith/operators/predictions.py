@@ -54,12 +54,16 @@ def with_label(df: DataFrame, labels: DataFrame, code: str, out: str, default_to
 def evaluation_frame(predictions: DataFrame, annotations: DataFrame, mapping: DataFrame, level: int = 4, key: str = "id") -> DataFrame:
     """predictions joined to annotations, whose columns win, with code_cut, predicted_cut and retrieved_cut: truncated, then pruned.
 
-    mapping (code, code_parent_equivalent) is a nomenclature's and so bounded; it goes into one map.
+    mapping (code, code_parent_equivalent) is a nomenclature's and so bounded; it goes into one map of maps,
+    by first level, as a look-up in a map reads its keys one by one.
     """
     own = [c for c in predictions.columns if c == key or c not in annotations.columns]
     both = predictions.select(own).join(annotations, key)
-    pruned = mapping.agg(F.map_from_entries(F.collect_list(F.struct("code", "code_parent_equivalent"))).alias("_map"))  # one row
-    final = lambda c: F.coalesce(F.try_element_at(F.col("_map"), truncate_code(c, level)), truncate_code(c, level))
+    first = lambda c: F.substring_index(c, ".", 1)
+    inner = mapping.groupBy(first(F.col("code")).alias("first")).agg(F.map_from_entries(F.collect_list(F.struct("code", "code_parent_equivalent"))).alias("own"))
+    pruned = inner.agg(F.map_from_entries(F.collect_list(F.struct("first", "own"))).alias("_map"))  # one row
+    found = lambda c: F.coalesce(F.try_element_at(F.try_element_at(F.col("_map"), first(c)), c), c)
+    final = lambda c: found(truncate_code(c, level))
     return both.join(F.broadcast(pruned)).withColumns({"code_cut": final(F.col("code")), "predicted_cut": final(F.col("predicted")), "retrieved_cut": F.transform("retrieved", final)}).drop("_map")
 
 

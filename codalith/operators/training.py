@@ -25,11 +25,18 @@ def split(df: DataFrame, key: str, test_percent: int = 50, seed: int = 42) -> Da
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
-    """df with part; of each label's n rows ceil(n * test_percent / 100) are test rows."""
-    own = Window.partitionBy(label)
-    rank = F.row_number().over(own.orderBy(draw(key, seed), key))
-    need = F.ceil(F.count("*").over(own) * test_percent / 100)
-    return df.withColumn("part", F.when(rank <= need, "test").otherwise("train"))
+    """df with part; of each label's n rows ceil(n * test_percent / 100) are test rows, the first by their draw.
+
+    A label's rows are ranked in 4096 slices of the draw, whose counts give each its first rank, so a
+    label that most rows have isn't sorted in one task.
+    """
+    drawn = df.withColumn("_draw", draw(key, seed)).withColumn("_slice", F.substring("_draw", 1, 3))
+    counted = drawn.groupBy(F.col(label).alias("_label"), "_slice").agg(F.count("*").alias("_n"))
+    own = Window.partitionBy("_label")  # rows of slices
+    placed = counted.select("_label", F.col("_slice").alias("_s"), (F.sum("_n").over(own.orderBy("_slice")) - F.col("_n")).alias("_before"), F.sum("_n").over(own).alias("_all"))
+    ranked = drawn.join(placed, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_slice") == F.col("_s")))
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(label, "_slice").orderBy("_draw", key))
+    return ranked.withColumn("part", F.when(rank <= F.ceil(F.col("_all") * test_percent / 100), "test").otherwise("train")).select(*df.columns, "part")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -138,7 +138,10 @@ _SEVERITY = f"CASE WHEN {_at('code', 4)} IS NULL OR {_at('predicted', 4)} IS NUL
 
 @query(CTE + f" SELECT {_SEVERITY} AS severity, count(*) AS n, round(avg(confidence), 6) AS mean_confidence, round(median(confidence), 6) AS median_confidence FROM obs GROUP BY 1")
 def error_severity(spark, d):
-    out = observations(spark, d).groupBy(codes.severity("code", "predicted").alias("severity")).agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence"), F.median("confidence").alias("median_confidence"))
+    rows = observations(spark, d).withColumn("severity", codes.severity("code", "predicted"))
+    medians = metrics.quantiles(rows, "confidence", [0.5], F.col("severity"))
+    median = F.coalesce(*[F.when(F.col("severity").eqNullSafe(F.lit(s)), F.lit(m)) for s, (m,) in medians.items()], F.lit(None).cast("double"))
+    out = rows.groupBy("severity").agg(F.count("*").alias("n"), F.avg("confidence").alias("mean_confidence")).withColumn("median_confidence", median)
     return _rounded(out, "mean_confidence", "median_confidence")
 
 
@@ -578,9 +581,9 @@ _THRESHOLDS = CTE + f", s AS (SELECT code, confidence, {_prefix_sql('code', 'pre
 @query(_THRESHOLDS + " SELECT CAST(threshold AS DOUBLE) AS threshold, CAST(count(*) FILTER (WHERE confidence >= threshold AND ok) AS BIGINT) AS n_right, CAST(count(*) FILTER (WHERE confidence >= threshold AND NOT coalesce(ok, false)) AS BIGINT) AS n_wrong FROM s, t GROUP BY threshold")
 def threshold_sweep(spark, d):
     ok = F.coalesce(codes.common_prefix("code", "predicted") == F.col("code"), F.lit(False))
-    by_value = observations(spark, d).groupBy("confidence").agg(F.count_if(ok).alias("r"), F.count_if(~ok).alias("w"))
-    each = by_value.select("*", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i")).withColumn("threshold", F.col("i") / 100)
-    above = lambda c: F.sum(F.when(F.col("confidence") >= F.col("threshold"), F.col(c)).otherwise(0))
+    by_reach = observations(spark, d).groupBy(metrics.thresholds_reached("confidence", 100, 100).alias("reach")).agg(F.count_if(ok).alias("r"), F.count_if(~ok).alias("w"))
+    each = by_reach.select("*", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i")).withColumn("threshold", F.col("i") / 100)
+    above = lambda c: F.sum(F.when(F.col("i") < F.col("reach"), F.col(c)).otherwise(0))
     return each.groupBy("threshold").agg(above("r").alias("n_right"), above("w").alias("n_wrong"))
 
 
