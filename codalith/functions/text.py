@@ -67,6 +67,22 @@ def strong_clean(text, stopwords: list[str]) -> Column:
     return F.when(F.length(F.trim(plain)) > 0, fold_ascii(F.array_join(kept, " ")))
 
 
+# What transliteration writes for characters that compatibility decomposition has no letters for.
+TRANSLITERATED = (("€", "EUR"), ("ß", "ss"), ("œ", "oe"), ("Œ", "OE"), ("æ", "ae"), ("Æ", "AE"), ("Ø", "O"), ("ø", "o"), ("Đ", "D"), ("đ", "d"), ("Ł", "L"), ("ł", "l"), ("Þ", "Th"), ("þ", "th"), ("Ð", "D"), ("ð", "d"), ("’", "'"), ("‘", "'"), ("“", '"'), ("”", '"'), ("«", "<<"), ("»", ">>"), ("–", "-"), ("—", "--"), ("°", "deg"), ("×", "x"), ("£", "PS"))
+
+
+def transliterate(text) -> Column:
+    """ASCII that is read like the text: letters without accents, ligatures and signs spelt out; other characters go."""
+    return fold_ascii(reduce(lambda c, x: F.replace(c, F.lit(x[0]), F.lit(x[1])), TRANSLITERATED, F.coalesce(_col(text), F.lit(""))))
+
+
+def classifier_clean(text, stopwords: list[str]) -> Column:
+    """Transliterated, lower case, noise and repeated words out, stop words out; null where nothing was left before the stop words went."""
+    noted = F.array_distinct(F.split(remove_noise(F.lower(transliterate(text))), " "))
+    kept = F.filter(noted, lambda w: ~F.array_contains(F.lit(list(stopwords)) if stopwords else F.array().cast("array<string>"), w))
+    return F.when(F.length(F.trim(F.array_join(noted, " "))) > 0, F.array_join(kept, " "))
+
+
 def price(text) -> Column:
     """The leading number after // is gone and a comma is a point; null without one."""
     digits = F.regexp_extract(F.replace(F.replace(_col(text), F.lit("//"), F.lit("")), F.lit(","), F.lit(".")), "^[0-9]+(\\.[0-9]+)?", 0)

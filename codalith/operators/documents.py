@@ -30,6 +30,39 @@ def notice_text(strategy: str) -> Column:
     return F.concat_ws("\n\n", *parts)
 
 
+# The titles of a notice's sections in Markdown.
+GENERAL, INCLUSIONS, EXCLUSIONS = "Note générale:", "Inclusions:", "Exclusions:"
+LINEAGE = "À niveau(x) plus agrégé(s), ce code fait partie des familles de produits suivants :"
+
+
+def notice_markdown(strategy: str) -> Column:
+    """The Markdown text of a notice with code, label, general, central, additional, exclusions, parents and parent_labels.
+
+    The lineage is left out unless every parent has its label; empty sections are left out.
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy: {strategy}")
+    section = lambda title, c: F.when(F.length(c) > 0, F.concat(F.lit(f"**{title}** "), c))
+    parts = [F.concat(F.lit("**"), "code", F.lit(": "), "label", F.lit("**"))]
+    if strategy != "code_only":
+        content = F.concat_ws(". ", *[F.when(F.length(c) > 0, F.trim(c)) for c in ("central", "additional")])
+        parts += [section(GENERAL, F.col("general")), section(INCLUSIONS, content)]
+    if strategy in ("with_hierarchy", "all_info"):
+        whole = (F.size("parents") > 0) & (F.size("parents") == F.size("parent_labels"))
+        parts.append(F.when(whole, section(LINEAGE, F.array_join(F.zip_with("parents", "parent_labels", lambda a, b: F.concat(a, F.lit(": "), b)), " > "))))
+    if strategy in ("with_exclusions", "all_info"):
+        parts.append(section(EXCLUSIONS, F.col("exclusions")))
+    return F.concat_ws("\n\n", *parts)
+
+
+def with_lineage(notices: DataFrame) -> DataFrame:
+    """notices (code, label) with parents, all ancestors from the top, and parent_labels, the labels of those that have one."""
+    up = notices.select("code", F.explode(ancestors("code")).alias("above"))
+    named = up.join(notices.select(F.col("code").alias("above"), F.col("label").alias("name")), "above")
+    gathered = named.groupBy("code").agg(F.array_sort(F.collect_list(F.struct(depth("above").alias("d"), "name"))).alias("a"))
+    return notices.withColumn("parents", ancestors("code")).join(gathered, "code", "left").withColumn("parent_labels", F.transform("a", lambda x: x["name"])).drop("a")
+
+
 def ancestor_paths(notices: DataFrame, separator: str = " > ") -> DataFrame:
     """notices (code, label) with path, the labels of all ancestors from the top; null where one is missing."""
     up = notices.select("code", F.explode(ancestors("code")).alias("above"))

@@ -1,5 +1,5 @@
-"""The registry of queries: catalog holds it, evaluations adds to it."""
+"""The registry of queries: catalog holds it, evaluations and scorings add to it."""
 
-from codalith.plans import catalog, evaluations
+from codalith.plans import catalog, evaluations, scorings
 
-__all__ = ["catalog", "evaluations"]
+__all__ = ["catalog", "evaluations", "scorings"]
