@@ -82,7 +82,10 @@ def normalize_lines(spark, d):
 STOPWORDS = ["de", "la", "le", "les", "du", "des", "et", "au"]
 
 
-@query()
+_STRONG = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(coalesce(label, ' ')), '\\brien\\b', '', 'g'), '[^\\p{L}\\p{N}\\p{M}_\\s]+', ' ', 'g'), '\\brien\\b', '', 'g'), '[0-9+]', ' ', 'g')"
+
+
+@query(CTE + f", t AS (SELECT id, list_filter(string_split_regex(trim({_STRONG}), '\\s+'), lambda w: length(w) > 1) AS w FROM obs), u AS (SELECT id, list_filter(w, lambda x, i: list_position(w, x) = i) AS w FROM t WHERE len(w) > 0) SELECT id, regexp_replace(strip_accents(array_to_string(list_filter(w, lambda x: NOT list_contains({STOPWORDS}, x)), ' ')), '[^\\x00-\\x7F]', '', 'g') AS s_pr FROM u")
 def strong_clean_labels(spark, d):
     return observations(spark, d).select("id", text.strong_clean("label", STOPWORDS).alias("s_pr")).where("s_pr IS NOT NULL")
 
@@ -596,15 +599,35 @@ def methods_long_form(spark, d):
 # ---- classifiers: trained models, so their rows alone are checked here and their accuracy in the tests
 
 
+def _targets(spark, d) -> DataFrame:
+    """Labels with the code that the rules give them; explode of one element, so that no later use repeats all rules."""
+    rows = observations(spark, d).where("label IS NOT NULL")
+    return rows.select("id", "label", F.explode(F.array(rules.rule_code("label"))).alias("target"))
+
+
 @query()
 def flat_classifier(spark, d):
-    rows = observations(spark, d).where("label IS NOT NULL").withColumn("target", rules.rule_code("label"))
+    rows = _targets(spark, d)
     model = classifiers.fit_flat(training.split(rows, "id").where("part = 'train'"), classifiers.char_ngrams("label"), "target")
     return model.predict(rows.select("id", "label"), classifiers.char_ngrams("label"), 3).select("id", F.posexplode("predictions").alias("rank", "p")).select("id", "rank", "p.code", "p.confidence")
 
 
+@query()
+def beam_search(spark, d):
+    rows = _targets(spark, d)
+    model = classifiers.fit_cascade(training.split(rows, "id").where("part = 'train'").select("id", "label", "target"), "label", "target", 3, forcing=0.8)
+    return model.beams(rows.select("id", "label"), "id", 3)
+
+
+@query()
+def heads_classifier(spark, d):
+    rows = _targets(spark, d)
+    model = classifiers.fit_heads(training.split(rows, "id").where("part = 'train'").select("id", "label", "target"), "label", "target", 2)
+    return model.predict(rows.select("id", "label")).drop("label")
+
+
 @query()
 def cascade_classifier(spark, d):
-    rows = observations(spark, d).where("label IS NOT NULL").withColumn("target", rules.rule_code("label"))
+    rows = _targets(spark, d)
     model = classifiers.fit_cascade(training.split(rows, "id").where("part = 'train'"), "label", "target", 3)
     return model.predict(rows.select("id", "label"), 0.3).select("id", F.col("code"), "level", "confidence")
