@@ -205,20 +205,23 @@ def _block_edges(max_bits: int):
         return edges(fp, np.concatenate([*out_i, rest[i]]), np.concatenate([*out_j, rest[j]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[list[np.ndarray]] = []  # pieces of the last run, joined once it has ended
         for batch in batches:
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask_no", "key", "fp")]
-            if held:
-                now = [np.concatenate(x) for x in zip(held, now)]
             if not len(now[0]):
                 continue
-            length = _runs(now[0], now[1])
-            last = int(np.flatnonzero(length)[-1])  # the last run may go on in the next batch
-            held = [x[last:] for x in now]
+            if held and all(held[0][k][0] == now[k][0] == now[k][-1] for k in (0, 1)):
+                held.append(now)
+                continue
+            now = [np.concatenate(x) for x in zip(*held, now)]
+            last = int(np.flatnonzero(_runs(now[0], now[1]))[-1])  # the last run may go on in the next batch
+            held = [[x[last:] for x in now]]
             if last:
                 yield links(now[0][:last], now[1][:last], np.ascontiguousarray(now[2][:last]).view(np.uint64))
         if held:
-            yield links(held[0], held[1], np.ascontiguousarray(held[2]).view(np.uint64))
+            now = [np.concatenate(x) for x in zip(*held)]
+            yield links(now[0], now[1], np.ascontiguousarray(now[2]).view(np.uint64))
+        common.trim()
 
     return run
 
