@@ -37,6 +37,42 @@ STEP_BYTES, LONG_UNIT = 1 << 20, 48
 LONG_MARK = 1 << 40
 
 
+class PairTable:
+    """Numbers by pairs of symbols, in a hash table of arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.shift = U(64 - max(4, (4 * len(keys)).bit_length()))
+        self.keys, self.values = np.full(1 << (64 - int(self.shift)), -1, np.int64), np.full(1 << (64 - int(self.shift)), -1, np.int64)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] == -1)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.keys[slot[put]], self.values[slot[put]] = keys[left[put]], values[left[put]]
+            rest = np.ones(len(left), bool)
+            rest[put] = False
+            left, slot = left[rest], (slot[rest] + 1) & (len(self.keys) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(U) * U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none."""
+        slot = self._slot(keys)
+        known = self.keys[slot]
+        out = np.where(known == keys, self.values[slot], -1)
+        at = np.flatnonzero((known != keys) & (known != -1))
+        slot = slot[at]
+        while len(at):
+            slot = (slot + 1) & (len(self.keys) - 1)
+            known = self.keys[slot]
+            hit = known == keys[at]
+            out[at[hit]] = self.values[slot[hit]]
+            on = ~hit & (known != -1)
+            at, slot = at[on], slot[on]
+        return out
+
+
 class MergeCoder:
     def __init__(self, path: str, rate: float = RATE, seed: int = SEED):
         import sentencepiece
@@ -60,9 +96,7 @@ class MergeCoder:
         for p, i in number.items():
             if i < n:
                 pairs += [(number[p[:k]] << 32 | number[p[k:]], i) for k in range(1, len(p)) if p[:k] in number and p[k:] in number]
-        pairs.sort()
-        self.pair_keys = np.array([k for k, _ in pairs], np.int64)
-        self.pair_piece = np.array([i for _, i in pairs], np.int64)
+        self.pairs = PairTable(np.array([k for k, _ in pairs], np.int64), np.array([i for _, i in pairs], np.int64))
         self.score = np.array([model.get_score(i) for i in range(n)], np.float64)
         self.pair_dict = dict(pairs)
         single = sorted((ord(p), i) for p, i in number.items() if len(p) == 1)
@@ -128,20 +162,24 @@ class MergeCoder:
         origin = (np.cumsum(size) - size)[unit]
         stop = (char + 1).copy()
         done: list[tuple[np.ndarray, np.ndarray]] = []  # first character and symbol of what is final
+
+        def look(at: np.ndarray) -> np.ndarray:
+            """The piece that the symbols at and at + 1 make; -1 where there is none or the candidate is dropped."""
+            left, right = symbol[at], symbol[at + 1]
+            found = self.pairs.find(left << 32 | right)
+            good = (found >= 0) & (unit[at] == unit[at + 1]) & (left >= 0) & (right >= 0)
+            if keys is not None and self.rate:
+                k = at[good]
+                good[good] = ~self._skipped(keys[unit[k]], char[k] - origin[k], char[k + 1] - origin[k], stop[k + 1] - origin[k])
+            return np.where(good, found, -1)
+
+        piece = np.r_[look(np.arange(max(0, len(symbol) - 1))), np.full(min(1, len(symbol)), -1)]
         while len(symbol):
-            together = (unit[1:] == unit[:-1]) & (symbol[1:] >= 0) & (symbol[:-1] >= 0)
-            at = np.flatnonzero(together)
-            pair = symbol[at] << 32 | symbol[at + 1]
-            place = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
-            good = self.pair_keys[place] == pair
-            at, piece = at[good], self.pair_piece[place[good]]
-            if keys is not None and self.rate and len(at):
-                free = ~self._skipped(keys[unit[at]], char[at] - origin[at], char[at + 1] - origin[at], stop[at + 1] - origin[at])
-                at, piece = at[free], piece[free]
+            at = np.flatnonzero(piece >= 0)
             if not len(at):
                 done.append((char, symbol))
                 break
-            value, owner = self.score[piece], unit[at]
+            value, owner = self.score[piece[at]], unit[at]
             begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             top = np.repeat(np.maximum.reduceat(value, begin), np.diff(np.r_[begin, len(at)]))
             best = np.flatnonzero(value == top)
@@ -149,15 +187,21 @@ class MergeCoder:
             left = at[best]
             if merges is not None:
                 merges.append((unit[left], self._place(char[left] - origin[left], char[left + 1] - origin[left], stop[left + 1] - origin[left])))
-            symbol[left], stop[left] = piece[best], stop[left + 1]
+            symbol[left], stop[left] = piece[left], stop[left + 1]
             keep = np.ones(len(symbol), bool)
             keep[left + 1] = False
             live = np.zeros(len(units), bool)
             live[owner] = True
-            over = keep & ~live[unit]
-            done.append((char[over], symbol[over]))
-            keep &= live[unit]
-            symbol, unit, char, origin, stop = symbol[keep], unit[keep], char[keep], origin[keep], stop[keep]
+            live = live[unit]
+            over = keep & ~live
+            if over.any():
+                done.append((char[over], symbol[over]))
+                keep &= live
+            merged = (np.cumsum(keep) - 1)[left]
+            symbol, unit, char, origin, stop, piece = symbol[keep], unit[keep], char[keep], origin[keep], stop[keep], piece[keep]
+            piece[merged] = -1
+            changed = np.r_[merged[merged < len(symbol) - 1], merged[merged > 0] - 1]  # a merged symbol has new neighbours on either side
+            piece[changed] = look(changed)
         char = np.concatenate([c for c, _ in done])
         symbol = np.concatenate([s for _, s in done])
         order = np.argsort(char)
