@@ -40,10 +40,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends here and lost executors cost nothing."""
-    path = f"{shared_dir(df.sparkSession)}/codalith-{label}-{uuid.uuid4().hex}"
+    """Writes df to the shared folder and reads it back: lineage ends here and lost executors cost nothing.
+
+    All tables of an application are in one folder of its name, which may go when the application has ended.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/codalith-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Deletes a table that stage_table wrote and nothing will read again."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:

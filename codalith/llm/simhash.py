@@ -243,7 +243,7 @@ def components(edges: DataFrame) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum((F.xxhash64("a", "b") / 2).cast("decimal(38,0)"))).first())
 
-    before = state(now)
+    before, done = state(now), now
     while before[0]:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -251,8 +251,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = now.groupBy("b").agg(F.min("a").alias("m"))
         joined = now.join(least, "b")
         now = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).union(joined.select(F.col("m").alias("a"), "b")).where("a <> b").distinct()
-        now = common.stage_table(now, "edges")
-        after = state(now)
+        old, now = done, common.stage_table(now, "edges")
+        common.drop_table(old)
+        done, after = now, state(now)
         if after == before:
             break
         before = after

@@ -11,8 +11,8 @@ them. There are never more rows than windows: buckets grow in number with the co
 the rows between blocks and them shrink to single records.
 
 Windows are equal if 64 bits of one word hash, 16 bits of another and the bits that choose the bucket
-are (a millionth of a wrong equality is expected in 10 ** 12 windows, some 6 TB, with their million
-buckets); words of eight bytes or less have no equal hashes.
+are: in 10 ** 12 windows, some 6 TB in a million buckets, less than a millionth of a wrong equality is
+expected. Words of up to eight bytes have no equal hashes.
 
 Defined results: null text has no words; a text of fewer than `width` words loses nothing; rows that
 share a doc_id count as one document (none removes the other's windows) and each gets its own row;
