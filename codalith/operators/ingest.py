@@ -24,6 +24,20 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def flag_duplicates(df: DataFrame, keys: list[str], name: str = "is_duplicate") -> DataFrame:
+    """df with whether other rows have the same keys (null equals null): counts and a join, so that a hot key stays spread out."""
+    counts = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count("*").alias("_n")).where("_n > 1")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return df.join(counts, same, "left").withColumn(name, F.col("_n").isNotNull()).select(*df.columns, name)
+
+
+def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One whole row per keys, the first by order and then by all its columns: an aggregate, which combines before it shuffles."""
+    rest = [c for c in df.columns if c not in order]
+    least = F.min(F.struct(*order, *rest)).alias("r")
+    return df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(least).select(*[F.col(f"r.{c}").alias(c) for c in df.columns])
+
+
 def attach(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
     """Left join in which a null key matches a null key."""
     right = mapping.withColumnRenamed(key, "_key")

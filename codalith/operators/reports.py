@@ -129,6 +129,16 @@ def text_report(metrics: DataFrame, title: str, keys: list[str], digits: int = 4
     return "\n".join([title, "=" * len(title), line(metrics.columns), line(["-" * w for w in widths]), *map(line, rows)]) + "\n"
 
 
+def html_report(metrics: DataFrame, title: str, keys: list[str], digits: int = 4) -> str:
+    """The same table as a page of its own."""
+    from html import escape
+
+    cell = lambda x: f"{x:.{digits}f}" if isinstance(x, float) else "" if x is None else str(x)
+    rows = "".join("<tr>" + "".join(f"<td>{escape(cell(x))}</td>" for x in r) + "</tr>\n" for r in metrics.orderBy(*keys).collect())
+    head = "".join(f"<th>{escape(c)}</th>" for c in metrics.columns)
+    return f'<!doctype html>\n<html><head><meta charset="utf-8"><title>{escape(title)}</title></head>\n<body><h1>{escape(title)}</h1>\n<table>\n<tr>{head}</tr>\n{rows}</table></body></html>\n'
+
+
 def where_all(df: DataFrame, *, technical: bool | None = None, sources: list[str] | None = None, years: list[int] | None = None, min_confidence: float | None = None, severities: list[str] | None = None, prefix: str | None = None, contains: str | None = None, truth: str = "code", predicted: str = "predicted") -> DataFrame:
     """Rows that pass every filter that is given; values are literals, never parts of SQL texts."""
     first = truncate_code(truth, 1)

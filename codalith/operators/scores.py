@@ -75,9 +75,11 @@ def slice_report(df: DataFrame, truth: str, ranked: list[str], slices: dict[str,
     rows = df.select(F.explode(F.array(*named)).alias("r")).select("r.slice", "r.value", F.col("r.x.t").alias("t"), F.col("r.x.p").alias("p")).where("t IS NOT NULL AND p[0] IS NOT NULL")
     hit = lambda n: F.count_if(F.coalesce(F.array_contains(F.slice("p", 1, n), F.col("t")), F.lit(False)))
     counted = rows.groupBy("slice", "value", "t", F.col("p")[0].alias("p1")).agg(F.count("*").alias("n"), *[hit(n).alias(f"h{n}") for n in range(2, k + 1)])
+    scored = _class_scores(counted.select("slice", "value", "t", F.col("p1").alias("p"), "n"), ["slice", "value"]).select("slice", "value", "n", "accuracy", "weighted_f1")
+    if k < 2:
+        return scored
     top = counted.groupBy("slice", "value").agg(*[(F.sum(f"h{n}") / F.sum("n")).alias(f"top{n}") for n in range(2, k + 1)])
-    scored = _class_scores(counted.select("slice", "value", "t", F.col("p1").alias("p"), "n"), ["slice", "value"])
-    return scored.select("slice", "value", "n", "accuracy", "weighted_f1").join(top, ["slice", "value"])
+    return scored.join(top, ["slice", "value"])
 
 
 def rate_by_code(df: DataFrame, code: str, ok: Column, length: int) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from codalith.functions import codes, text
-from codalith.operators import documents, metrics, scores, selection
-from codalith.plans.catalog import _LEVELS, _NOTICES, _at, _cut, _depth, _L, _notices, _rounded, query
+from codalith.operators import classifiers, documents, ingest, metrics, scores, selection, similarity
+from codalith.plans.catalog import _LCS_CTE, _LEVELS, _NOTICES, _at, _cut, _depth, _L, _notices, _pairs, _rounded, query
 from codalith.plans.evaluations import _OK, _one, _truth
 from codalith.plans.observations import CTE, observations
+from codalith.sources import readers
 
 # ---- evaluation in full
 
@@ -231,3 +232,47 @@ def notices_by_strategy(spark, d):
 def classifier_texts(spark, d):
     named = F.concat(F.lit("Été "), "p_name", F.lit(" 5 €"))
     return spark.read.parquet(f"{d}/part.parquet").select("p_partkey", text.classifier_clean(named, ["de", "la"]).alias("cleaned"))
+
+
+# ---- ingest
+
+@query(CTE + " SELECT id, count(*) OVER (PARTITION BY label, code) > 1 AS is_duplicate FROM obs")
+def duplicate_flags(spark, d):
+    return ingest.flag_duplicates(observations(spark, d).select("id", "label", "code"), ["label", "code"]).select("id", "is_duplicate")
+
+
+@query(CTE + ", r AS (SELECT *, row_number() OVER (PARTITION BY label, code ORDER BY confidence, id) AS rn FROM obs) SELECT id, label, code, confidence FROM r WHERE rn = 1")
+def first_of_each_label(spark, d):
+    return ingest.keep_first(observations(spark, d).select("id", "label", "code", "confidence"), ["label", "code"], ["confidence", "id"])
+
+
+@query(CTE + " SELECT code, shop, annee, source, shop_type, round(nullif(sum(coalesce(budget, 0)), 0), 4) AS budget, count(*) AS n_obs FROM obs GROUP BY code, shop, annee, source, shop_type")
+def budget_by_five_keys(spark, d):
+    return _rounded(ingest.sum_budget(observations(spark, d), ["code", "shop", "annee", "source", "shop_type"], "budget"), "budget", digits=4)
+
+
+@query(CTE + " SELECT id, " + ", ".join(f"{_at('code', k)} AS level{k}" for k in range(1, 6)) + ", lower(trim(label)) AS text FROM obs WHERE NOT coalesce(starts_with(code, '98') OR starts_with(code, '99'), false)")
+def training_set(spark, d):
+    rows = observations(spark, d).select("id", "code", F.col("label").alias("product"))
+    return readers.load_training_set(rows).drop("code", "product")
+
+
+@query(CTE + " SELECT id, length(label) AS n_chars, len(list_filter(string_split_regex(trim(label), '\\s+'), lambda w: length(w) > 0)) AS n_words, CASE WHEN label IS NULL THEN 0 ELSE greatest(length(label) + 2 - 2, 0) + greatest(length(label) + 2 - 3, 0) + greatest(length(label) + 2 - 4, 0) END AS n_grams FROM obs WHERE label IS NOT NULL")
+def text_sizes(spark, d):
+    rows = observations(spark, d).where("label IS NOT NULL")
+    n_words = F.size(F.filter(F.split(F.trim("label"), "(?U)\\s+"), lambda w: F.length(w) > 0)).cast("long")
+    return rows.select("id", F.length("label").cast("long").alias("n_chars"), n_words.alias("n_words"), F.size(classifiers.char_ngrams("label")).cast("long").alias("n_grams"))
+
+
+@query(_LCS_CTE + ", every AS (SELECT s1, s2, distance FROM pairs UNION ALL SELECT DISTINCT p_name, p_name, 0.0 FROM part WHERE p_partkey % 2 = 0), r AS (SELECT *, rank() OVER (PARTITION BY s1 ORDER BY distance) AS rk FROM every) SELECT s1, s2, distance FROM r WHERE rk = 1")
+def nearest_with_exact_matches(spark, d):
+    names = spark.read.parquet(f"{d}/part.parquet")
+    exact = similarity.exact_pairs(names.select(F.col("p_name").alias("s1")), names.where("p_partkey % 2 = 0").select(F.col("p_name").alias("s2")))
+    every = _pairs(spark, d).unionByName(exact)
+    return _rounded(similarity.nearest_ties(every).select("s1", "s2", "distance"), "distance")
+
+
+@query("SELECT page_id, i, CASE WHEN NOT regexp_matches(x, '^[0-9]+$') AND NOT regexp_matches(x, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND length(p) > 0 THEN p END AS line FROM (SELECT *, trim(regexp_replace(regexp_replace(x, '[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.+]+', '', 'g'), ':\\s*[0-9]{2}/[0-9]{2}/[0-9]{4}', '', 'g')) AS p FROM (SELECT page_id, CAST(i AS INTEGER) AS i, trim(CASE i WHEN 1 THEN CAST(page_id AS VARCHAR) WHEN 2 THEN '2024-01-02 news' WHEN 3 THEN url || ' 2024-01-02T10:11:12+01:00 read' ELSE 'Updated: 19/12/2025' END) AS x FROM pages, (SELECT unnest(range(1, 5)) AS i)))")
+def lines_without_stamps(spark, d):
+    rows = spark.read.parquet(f"{d}/pages.parquet").select("page_id", F.posexplode(F.array(F.col("page_id").cast("string"), F.lit("2024-01-02 news"), F.concat("url", F.lit(" 2024-01-02T10:11:12+01:00 read")), F.lit("Updated: 19/12/2025"))).alias("at", "x"))
+    return rows.select("page_id", (F.col("at") + 1).alias("i"), readers.without_stamps("x").alias("line"))

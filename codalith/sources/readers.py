@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codalith.functions.text import amount
+from codalith.functions.codes import is_technical, level_plain
+from codalith.functions.text import amount, classifier_clean
 
 
 def read_any(spark: SparkSession, path: str, sep: str = ";", schema: str | None = None) -> DataFrame:
@@ -48,17 +49,31 @@ def sniff_separator(spark: SparkSession, path: str, lines: int = 5) -> str:
     return ";" if sum(";" in x for x in head) >= sum("," in x for x in head) else ","
 
 
-#: Column names of annotated files: each list names one layout's columns for product, code, amount and store type.
-ANNOTATED_LAYOUTS = [("product", "code", "amount", "is_hypermarche"), ("l_pr_product", "code", "budget", "is_hypermarche")]
+# Column names of annotated files. Each layout names its columns for product, code and amount,
+# the column that tells hypermarkets, and the value that means one; the first two layouts don't tell them.
+ANNOTATED_LAYOUTS = [
+    ("product", "code1", "price", None, None),
+    ("Nature de la dépense", "coicop", "Montant", None, None),
+    ("product", "Code coicop", "Montant de la dépense", "Nomen_mag", "Hypermarchés"),
+    ("product", "code", "amount", "is_hypermarche", "true"),
+    ("l_pr_product", "code", "budget", "is_hypermarche", "true"),
+]
 
 
 def read_annotated(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """product, code, amount, is_hypermarche, source_file of a file in any of ANNOTATED_LAYOUTS."""
-    raw = read_any(spark, path, sep)
-    for product, code, value, store in ANNOTATED_LAYOUTS:
-        if product in raw.columns and code in raw.columns:
-            take = lambda c: F.col(c) if c in raw.columns else F.lit(None).cast("string")  # noqa: B023,E731
-            return raw.select(take(product).alias("product"), take(code).alias("code"), amount(take(value)).alias("amount"), (F.lower(take(store)) == "true").alias("is_hypermarche"), F.input_file_name().alias("source_file"))
+    """product, code, amount, is_hypermarche, source_file of a file in any of ANNOTATED_LAYOUTS, fields parted by sep or else by commas.
+
+    Rows without product or code are left out.
+    """
+    raw = None
+    for mark in dict.fromkeys((sep, ",")):
+        raw = read_any(spark, path, mark)
+        for product, code, value, store, means in ANNOTATED_LAYOUTS:
+            if product in raw.columns and code in raw.columns:
+                take = lambda c: F.col(f"`{c}`") if c in raw.columns else F.lit(None).cast("string")  # noqa: B023,E731
+                large = F.lower(take(store)) == means.lower() if store else F.lit(None).cast("boolean")
+                rows = raw.select(take(product).alias("product"), take(code).alias("code"), amount(take(value)).alias("amount"), large.alias("is_hypermarche"), F.input_file_name().alias("source_file"))
+                return rows.where((F.length(F.trim("product")) > 0) & (F.length(F.trim("code")) > 0))
     raise ValueError(f"unknown layout: {raw.columns}")
 
 
@@ -171,6 +186,56 @@ def write_vectors(df: DataFrame, path: str, key: str = "code", vector: str = "em
     df.where(F.col(key).isNotNull() & (F.size(vector) > 0)).write.mode("overwrite").parquet(path)
 
 
+def upsert_vectors(df: DataFrame, path: str, key: str = "code", vector: str = "embedding") -> int:
+    """Adds df's vectors to the table at path, in place of those of the same key; the number of vectors then.
+
+    Of rows of one key in df the one with the smallest vector counts. The new table is written beside the
+    old one and named last, so a reader of the old one isn't disturbed.
+    """
+    spark = df.sparkSession
+    fresh = df.where(F.col(key).isNotNull() & (F.size(vector) > 0)).groupBy(key).agg(F.min_by(F.struct(*df.columns), vector).alias("r")).select("r.*")
+    try:
+        version, old = latest_vectors(spark, path)
+        fresh = fresh.unionByName(old.join(fresh.select(key), key, "left_anti"), allowMissingColumns=True)
+    except FileNotFoundError:
+        version = 0
+    fresh.write.parquet(f"{path}/v{version + 1:06d}")
+    return latest_vectors(spark, path)[1].count()
+
+
+def latest_vectors(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
+    """Number and rows of the last whole table that upsert_vectors wrote."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in files.listStatus(folder)] if files.exists(folder) else []
+    whole = sorted(int(p.getName()[1:]) for p in found if p.getName().startswith("v") and files.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    if not whole:
+        raise FileNotFoundError(path)
+    return whole[-1], spark.read.parquet(f"{path}/v{whole[-1]:06d}")
+
+
+def load_training_set(rows: DataFrame, stopwords: list[str] | None = None, technical: bool = False, code: str = "code", product: str = "product") -> DataFrame:
+    """rows with level1 ... level5 and text, the product trimmed in lower case.
+
+    With stopwords the product is cleaned for classifiers first (product_orig keeps it as it was), and
+    rows of which nothing is left go; technical codes go unless they are asked for.
+    """
+    out = rows
+    if stopwords is not None:
+        out = out.withColumns({f"{product}_orig": F.col(product), product: classifier_clean(product, stopwords)}).where(F.col(product).isNotNull())
+    if not technical:
+        out = out.where(~F.coalesce(is_technical(code), F.lit(False)))
+    return out.withColumns({**{f"level{k}": level_plain(code, k) for k in range(1, 6)}, "text": F.lower(F.trim(product))})
+
+
+def without_stamps(line: str | Column) -> Column:
+    """A page's line without times and dates; null if it is nothing but a number or a date, or if nothing is left."""
+    text = F.trim(F.col(line) if isinstance(line, str) else line)
+    plain = F.trim(F.regexp_replace(F.regexp_replace(text, "\\d{4}-\\d{2}-\\d{2}T[\\d:.+]+", ""), ":\\s*\\d{2}/\\d{2}/\\d{4}", ""))
+    return F.when(~text.rlike("^\\d+$") & ~text.rlike("^\\d{4}-\\d{2}-\\d{2}") & (F.length(plain) > 0), plain)
+
+
 #: Fixed: beginnings of headings that open a part of a notice's page, as they stand there.
 NOTICE_HEADINGS = (("comprend", "includes"), ("ne comprend pas", "excludes"))
 
