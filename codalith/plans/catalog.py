@@ -65,12 +65,6 @@ def normalize_labels(spark, d):
     return observations(spark, d).select("id", text.normalize_label("label").alias("l_pr"))
 
 
-@query(f"SELECT doc_id, {_FOLD.format(c=chr(34) + 'first' + chr(34))} AS line FROM (SELECT doc_id, string_split(text, chr(10))[1] AS first FROM documents)")
-def normalize_first_lines(spark, d):
-    first = F.element_at(F.split("text", "\n"), 1)
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", text.normalize_label(first).alias("line"))
-
-
 @query(f"SELECT doc_id, CAST(i AS INTEGER) AS line_no, {_FOLD.format(c='raw')} AS line FROM (SELECT doc_id, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS raw FROM documents)")
 def normalize_lines(spark, d):
     lines = F.posexplode(F.split("text", "\n")).alias("at", "raw")

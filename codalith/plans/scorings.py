@@ -169,10 +169,10 @@ def tricky_error_sample(spark, d):
     return selection.tricky_errors(rows, "code", "predicted", "codable", "id", 40).select("id", "code", "predicted")
 
 
-@query(CTE + " SELECT id, code FROM obs WHERE code IN (SELECT predicted FROM obs WHERE num % 50 = 0)")
+@query(CTE + " SELECT id, code FROM obs WHERE code IN (SELECT predicted FROM obs WHERE source = 'F' AND confidence >= 0.97)")
 def rows_of_known_labels(spark, d):
     rows = observations(spark, d)
-    return selection.known_labels(rows.select("id", "code"), "code", rows.where("num % 50 = 0").select(F.col("predicted").alias("label")))
+    return selection.known_labels(rows.select("id", "code"), "code", rows.where("source = 'F' AND confidence >= 0.97").select(F.col("predicted").alias("label")))
 
 
 @query(CTE + " SELECT id, label, confidence FROM obs WHERE contains(lower(label), 'lait') ORDER BY confidence DESC, id LIMIT 500")
@@ -185,10 +185,10 @@ def first_categories(spark, d):
     return selection.first_groups(observations(spark, d).select("id", "code"), "code", 12)
 
 
-@query(CTE + ", r AS (SELECT id, predicted AS llm_code FROM obs WHERE num % 4 = 0 UNION ALL SELECT 'x' || id, NULL FROM obs WHERE num % 1000 = 0) SELECT r.id, label, llm_code FROM obs RIGHT JOIN r ON obs.id = r.id")
+@query(CTE + ", r AS (SELECT id, predicted AS llm_code FROM obs WHERE source = 'F' UNION ALL SELECT 'x' || id, NULL FROM obs WHERE code IS NULL) SELECT r.id, label, llm_code FROM obs RIGHT JOIN r ON obs.id = r.id")
 def merged_results(spark, d):
     rows = observations(spark, d)
-    done = rows.where("num % 4 = 0").select("id", F.col("predicted").alias("llm_code")).union(rows.where("num % 1000 = 0").select(F.concat(F.lit("x"), "id"), F.lit(None).cast("string")))
+    done = rows.where("source = 'F'").select("id", F.col("predicted").alias("llm_code")).union(rows.where("code IS NULL").select(F.concat(F.lit("x"), "id"), F.lit(None).cast("string")))
     return selection.merged_results(rows.select("id", "label"), done, "id")
 
 
@@ -264,10 +264,10 @@ def text_sizes(spark, d):
     return rows.select("id", F.length("label").cast("long").alias("n_chars"), n_words.alias("n_words"), F.size(classifiers.char_ngrams("label")).cast("long").alias("n_grams"))
 
 
-@query(_LCS_CTE + ", every AS (SELECT s1, s2, distance FROM pairs UNION ALL SELECT DISTINCT p_name, p_name, 0.0 FROM part WHERE p_partkey % 2 = 0), r AS (SELECT *, rank() OVER (PARTITION BY s1 ORDER BY distance) AS rk FROM every) SELECT s1, s2, distance FROM r WHERE rk = 1")
+@query(_LCS_CTE + ", every AS (SELECT s1, s2, distance FROM pairs UNION ALL SELECT DISTINCT p_name, p_name, 0.0 FROM part WHERE p_name IN (SELECT p_name FROM part WHERE p_size > 49)), r AS (SELECT *, rank() OVER (PARTITION BY s1 ORDER BY distance) AS rk FROM every) SELECT s1, s2, distance FROM r WHERE rk = 1")
 def nearest_with_exact_matches(spark, d):
     names = spark.read.parquet(f"{d}/part.parquet")
-    exact = similarity.exact_pairs(names.select(F.col("p_name").alias("s1")), names.where("p_partkey % 2 = 0").select(F.col("p_name").alias("s2")))
+    exact = similarity.exact_pairs(names.select(F.col("p_name").alias("s1")), names.where("p_size > 49").select(F.col("p_name").alias("s2")))
     every = _pairs(spark, d).unionByName(exact)
     return _rounded(similarity.nearest_ties(every).select("s1", "s2", "distance"), "distance")
 
