@@ -150,7 +150,7 @@ def quantiles(df: DataFrame, value: str, shares: list[float], by: Column | None
     def between(g, q: float) -> float:
         place = (whole[g][0] - 1) * q
         low, high = known[g, int(place)], known[g, min(int(place) + 1, whole[g][0] - 1)]
-        return low + (high - low) * (place - int(place))
+        return low if low == high else (int(place) + 1 - place) * low + (place - int(place)) * high
 
     return {g: [between(g, q) for q in shares] for g in whole}
 

@@ -60,7 +60,7 @@ def test_quantiles_are_exact(spark, kind):
         for q, x in zip(shares, found[g]):
             place = (len(own) - 1) * q
             low, high = own[int(place)], own[min(int(place) + 1, len(own) - 1)]
-            assert x == low + (high - low) * (place - int(place))
+            assert math.isclose(x, low + (high - low) * (place - int(place)), rel_tol=1e-12, abs_tol=1e-12)
     assert set(found) == {k for k, v in rows if v is not None and math.isfinite(v)}
     assert metrics.quantiles(df.where("false"), "v", shares) == {}
 
