@@ -131,6 +131,23 @@ def test_beams_heads_and_saved_models(spark, tmp_path):
         assert type(again) is type(saved) and sorted(predict(again).collect()) == sorted(predict(saved).collect())
 
 
+def test_fine_tuning_mixes_and_keeps_labels(spark, tmp_path):
+    rows = labelled(spark)
+    grams = lambda: classifiers.char_ngrams("label")
+    old = classifiers.fit_flat(rows, grams(), "code")
+    later = spark.createDataFrame([(f"n{k}", "oat drink", "01.2.1") for k in range(8)] + [(f"m{k}", "bread bun", "01.1.2") for k in range(8)] + [("x", "unknown", "77")], "id string, label string, code string")
+    tuned = classifiers.fine_tuned(old, later, grams(), "code", weight=0.4)
+    probe = spark.createDataFrame([("1", "oat drink"), ("2", "wine red a")], "id string, label string")
+    whole = lambda m: {r.id: {p.code: p.confidence for p in r.predictions} for r in m.predict(probe, grams(), 10).collect()}
+    before, after, new = whole(old), whole(tuned), whole(tuned.later)
+    for i in ("1", "2"):
+        assert set(after[i]) == set(before[i]) == set(old.labels) and set(new[i]) == {"01.2.1", "01.1.2"}
+        assert all(abs(after[i][c] - (0.6 * before[i][c] + 0.4 * new[i].get(c, 0.0))) < 1e-9 for c in old.labels)
+    assert max(after["1"], key=after["1"].get) == "01.2.1" and max(after["2"], key=after["2"].get) == "02.1.1"
+    classifiers.save_model(tuned, spark, str(tmp_path / "tuned"))
+    assert whole(classifiers.load_model(spark, str(tmp_path / "tuned"))) == after
+
+
 def test_choices(spark):
     df = spark.createDataFrame([("1", "x"), ("2", None)], "id string, v string")
     assert selection.one_row(df, "id", "1") == {"id": "1", "v": "x"}
