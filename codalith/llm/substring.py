@@ -10,8 +10,8 @@ A window that a third of all documents hold costs one record per block, and its
 them. There are never more rows than windows: buckets grow in number with the corpus, not in size, and
 the rows between blocks and them shrink to single records.
 
-Windows are equal if 64 bits of one word hash, 16 bits of another and the bits that choose the bucket
-are: in 10 ** 12 windows, some 6 TB in a million buckets, less than a millionth of a wrong equality is
+Windows are equal if 64 bits of one word hash, 8 bits of another and the bits that choose the bucket
+are: in 10 ** 12 windows, some 6 TB in a million buckets, a ten-thousandth of a wrong equality is
 expected. Words of up to eight bytes have no equal hashes.
 
 Defined results: null text has no words; a text of fewer than `width` words loses nothing; rows that
@@ -110,9 +110,9 @@ def _pack(bucket: np.ndarray, records: Records) -> Iterator[tuple[int, bytes]]:
 
 def _unpack(raw: bytes) -> Records:
     m = int(np.frombuffer(raw, np.int64, 1)[0])
-    n = (len(raw) - 8 - 14 * m) // 10
+    n = (len(raw) - 8 - 14 * m) // 9
     docs, count, route = (np.frombuffer(raw, kind, m, 8 + at * m) for kind, at in ((np.int64, 0), (np.uint32, 8), (np.uint16, 12)))
-    second, h = np.frombuffer(raw, np.uint16, n, 8 + 14 * m), np.frombuffer(raw, U, n, 8 + 14 * m + 2 * n)
+    second, h = np.frombuffer(raw, np.uint8, n, 8 + 14 * m), np.frombuffer(raw, U, n, 8 + 14 * m + n)
     return h, second, np.repeat(docs, count), np.repeat(route, count)
 
 
@@ -157,7 +157,7 @@ def _sender(width: int, n_buckets: int, n_parts: int):
                     continue
                 second = words.mix(words.rolling(words.hashes(part, starts, ends, 1), width, SECOND_BASE)[at])
                 buckets.append((second % U(n_buckets)).astype(np.int64))
-                pieces.append((_window_hashes(part, starts, ends, width)[at], (second >> U(48)).astype(np.uint16), np.repeat(ids[i:j], n_windows), np.repeat(route[i:j], n_windows)))
+                pieces.append((_window_hashes(part, starts, ends, width)[at], (second >> U(56)).astype(np.uint8), np.repeat(ids[i:j], n_windows), np.repeat(route[i:j], n_windows)))
                 held += len(at)
                 if held >= BLOCK_WINDOWS:
                     yield from _block_rows(pieces, buckets, n_parts)

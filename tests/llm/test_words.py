@@ -103,7 +103,7 @@ def test_first_owners_of_equal_hashes():
     random = np.random.default_rng(1)
     for _ in range(30):
         n = 60
-        records = (random.integers(0, 6, n).astype(np.uint64), random.integers(0, 3, n).astype(np.uint16), random.integers(0, 5, n), random.integers(0, 2, n).astype(np.uint16))
+        records = (random.integers(0, 6, n).astype(np.uint64), random.integers(0, 3, n).astype(np.uint8), random.integers(0, 5, n), random.integers(0, 2, n).astype(np.uint16))
         rows = list(zip(*(x.tolist() for x in records)))
         least = {}
         for h, second, doc, _ in rows:
