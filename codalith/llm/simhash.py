@@ -37,6 +37,8 @@ _BANDS = [((1 << w) - 1) << s for w, s in ((11, 0), (11, 11), (11, 22), (11, 33)
 MASKS = [sum(x) for x in combinations(_BANDS, 4)]
 #: Above so many members, a block is split again before pairs are compared.
 DENSE = 256
+#: Files of a round of components: so many at least, and one for so many edges.
+FEWEST_FILES, FILE_EDGES = 12, 200_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -251,7 +253,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = now.groupBy("b").agg(F.min("a").alias("m"))
         joined = now.join(least, "b")
         now = joined.select(F.col("m").alias("a"), F.col("a").alias("b")).union(joined.select(F.col("m").alias("a"), "b")).where("a <> b").distinct()
-        old, now = done, common.stage_table(now, "edges")
+        # Rounds leave few edges, which need no file for each partition of a shuffle.
+        old, now = done, common.stage_table(now.coalesce(max(FEWEST_FILES, before[0] // FILE_EDGES)), "edges")
         common.drop_table(old)
         done, after = now, state(now)
         if after == before:
