@@ -84,15 +84,22 @@ def common_prefix(a, b, last: int = 12) -> Column:
 
 def severity(truth, predicted) -> Column:
     """How far up the first wrong level is, for pairs that both reach level 4."""
-    t, p = (lambda k: at_level(truth, k)), (lambda k: at_level(predicted, k))
-    return (
-        F.when(t(4).isNull() | p(4).isNull(), None)
-        .when(t(1) != p(1), "far-miss")
-        .when(t(2) != p(2), "L2 faux")
-        .when(t(3) != p(3), "L3 faux")
-        .when(t(4) != p(4), "near-miss")
-        .otherwise("correct")
-    )
+
+    def judged(pair: Column) -> Column:
+        t, p = (lambda k: F.get(pair["t"], F.lit(k - 1))), (lambda k: F.get(pair["p"], F.lit(k - 1)))
+        return (
+            F.when(t(4).isNull() | p(4).isNull(), None)
+            .when(t(1) != p(1), "far-miss")
+            .when(t(2) != p(2), "L2 faux")
+            .when(t(3) != p(3), "L3 faux")
+            .when(t(4) != p(4), "near-miss")
+            .otherwise("correct")
+        )
+
+    # A lambda's argument is computed once; otherwise both codes, which may be long expressions, stand here a dozen times.
+    # Segments decide: if the ones above are equal, those of a level differ where the codes up to it do.
+    parts = F.struct(F.split(_col(truth), "\\.").alias("t"), F.split(_col(predicted), "\\.").alias("p"))
+    return F.get(F.transform(F.array(parts), judged), F.lit(0))
 
 
 #: Fixed bounds of the budget classes.

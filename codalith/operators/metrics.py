@@ -14,13 +14,22 @@ def _levels(df: DataFrame, levels: list[int], make) -> DataFrame:
     return df.withColumn("_at", F.explode(rows)).select(*df.columns, "_at.*")
 
 
+def once(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """These columns of df, each computed once a row, however often later expressions ask for them.
+
+    explode of one element is where the optimizer stops to write a column's expression out in its place;
+    with a look-up per level and rank such expressions grow past what can be compiled.
+    """
+    return df.select(F.explode(F.array(F.struct(*columns))).alias("_once")).select("_once.*")
+
+
 def share(condition: Column) -> Column:
     return F.avg(condition.cast("double"))
 
 
 def report_accuracy(df: DataFrame, truth: str, methods: list[str], levels: list[int]) -> DataFrame:
     """Per method and level: rows whose truth reaches the level, right ones, accuracy. Shallower predictions are wrong."""
-    long = df.select(truth, F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("predicted")) for m in methods])).alias("m")).select(truth, "m.*")
+    long = once(df, truth, *methods).select(truth, F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("predicted")) for m in methods])).alias("m")).select(truth, "m.*")
     each = _levels(long, levels, lambda k: {"ok": level_result(truth, "predicted", k)}).where("ok IS NOT NULL")
     return each.groupBy("method", "level").agg(F.count("*").alias("n"), F.count_if("ok").alias("n_ok"), share(F.col("ok")).alias("accuracy"))
 
@@ -36,7 +45,8 @@ def retrieval_accuracy(df: DataFrame, label: str, predicted: str, retrieved: str
 
     Codes are truncated, shallower ones compared as they are, and a null prediction of a null label is right.
     """
-    passing = df.withColumn("filter", F.explode(F.array_compact(F.array(*[F.when(c, name) for name, c in filters.items()]))))
+    marks = F.array_compact(F.array(*[F.when(c, name) for name, c in filters.items()])).alias("_filters")
+    passing = once(df, label, predicted, retrieved, *(by or []), marks).withColumn("filter", F.explode("_filters"))
     def make(k: int) -> dict[str, Column]:
         t = truncate_code(label, k)
         return {"ok": truncate_code(predicted, k).eqNullSafe(t), "found": F.coalesce(F.exists(retrieved, lambda c: truncate_code(c, k) == t), F.lit(False))}
@@ -46,7 +56,7 @@ def retrieval_accuracy(df: DataFrame, label: str, predicted: str, retrieved: str
 
 def top_k_accuracy(df: DataFrame, truth: str, ranked: list[str], levels: list[int], ks: list[int], by: list[str] | None = None) -> DataFrame:
     """Per level and k: share of rows with the truth among the first k. Rows without truth or first prediction at the level don't count."""
-    each = _levels(df, levels, lambda k: {"t": at_level(truth, k), "p": F.array(*[at_level(c, k) for c in ranked])}).where("t IS NOT NULL AND p[0] IS NOT NULL")
+    each = _levels(once(df, truth, *ranked, *(by or [])), levels, lambda k: {"t": at_level(truth, k), "p": F.array(*[at_level(c, k) for c in ranked])}).where("t IS NOT NULL AND p[0] IS NOT NULL")
     hit = lambda k: share(F.coalesce(F.exists(F.slice("p", 1, k), lambda x: x.eqNullSafe(F.col("t"))), F.lit(False)))
     wide = each.groupBy(*(by or []), "level").agg(F.count("*").alias("n"), *[hit(k).alias(f"_k{k}") for k in ks])
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_k{k}").alias("accuracy")) for k in ks])).alias("x")
@@ -172,7 +182,7 @@ def cascade_errors(df: DataFrame, truth: str, predicted: str, levels: list[int])
 
 def sliced_report(df: DataFrame, truth: str, predicted: str, slices: list[str], levels: list[int]) -> DataFrame:
     """Accuracy overall and within each slice column, by level, from one pass with grouping sets."""
-    judged = _levels(df, levels, lambda k: {"ok": level_result(truth, predicted, k)}).where("ok IS NOT NULL")
+    judged = _levels(once(df, truth, predicted, *slices), levels, lambda k: {"ok": level_result(truth, predicted, k)}).where("ok IS NOT NULL")
     named = F.explode(F.array(F.struct(F.lit("overall").alias("slice"), F.lit("").alias("value")), *[F.struct(F.lit(s).alias("slice"), F.coalesce(F.col(s).cast("string"), F.lit("N/A")).alias("value")) for s in slices])).alias("s")
     return judged.select("level", "ok", named).groupBy("s.slice", "s.value", "level").agg(F.count("*").alias("n"), share(F.col("ok")).alias("accuracy"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from codalith.functions.codes import at_level, cut, severity, truncate_code
 from codalith.functions.text import metric_key
-from codalith.operators.metrics import share
+from codalith.operators.metrics import once, share
 
 SEVERITIES = ("far-miss", "L2 faux", "L3 faux", "near-miss", "correct")
 
@@ -59,7 +59,7 @@ def accuracy_by_flags(df: DataFrame, truth: str, ranked: list[str], flags: dict[
     """Top-k accuracy by level, for rows where each flag holds and where it doesn't; a null flag doesn't hold."""
     hits = [F.struct(F.lit(k).alias("level"), F.lit(n).alias("k"), at_level(truth, k).alias("t"), F.array(*[at_level(c, k) for c in ranked[:n]]).alias("p")) for k in levels for n in ks]
     values = [F.struct(F.lit(name).alias("flag"), F.coalesce(c, F.lit(False)).alias("value")) for name, c in flags.items()]
-    each = df.select(F.explode(F.array(*values)).alias("f"), F.array(*hits).alias("h")).select("f.*", F.explode("h").alias("h"))
+    each = once(df, truth, *ranked, F.array(*values).alias("_flags")).select(F.explode("_flags").alias("f"), F.array(*hits).alias("h")).select("f.*", F.explode("h").alias("h"))
     judged = each.where("h.t IS NOT NULL AND h.p[0] IS NOT NULL")
     hit = F.coalesce(F.array_contains("h.p", F.col("h.t")), F.lit(False))
     return judged.groupBy("flag", "value", "h.level", "h.k").agg(F.count("*").alias("n"), share(hit).alias("accuracy"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codalith.functions.codes import at_level, is_technical
-from codalith.operators.metrics import share
+from codalith.operators.metrics import once, share
 
 AVERAGES = ("weighted", "macro")
 
@@ -49,8 +49,8 @@ def score_table(df: DataFrame, truth: str, predicted: str, confidence: str, leve
 
     Rows with truth and prediction at the level count. The scopes are conditions, and a row may be in several.
     """
-    inside = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in scopes.items()]))).alias("scope")
-    scoped = df.select(truth, predicted, confidence, inside)
+    inside = F.explode(F.array_compact(F.array(*[F.when(F.col(f"_in{n}"), F.lit(name)) for n, name in enumerate(scopes)]))).alias("scope")
+    scoped = once(df, truth, predicted, confidence, *[c.alias(f"_in{n}") for n, c in enumerate(scopes.values())]).select(truth, predicted, confidence, inside)
     totals = scoped.groupBy("scope").agg(F.count("*").alias("total"))  # a row a scope
     cells = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), at_level(truth, k).alias("t"), at_level(predicted, k).alias("p")) for k in levels])).alias("x")
     limits = sorted(thresholds)
@@ -71,8 +71,8 @@ def slice_report(df: DataFrame, truth: str, ranked: list[str], slices: dict[str,
     whole = F.struct(F.col(truth).alias("t"), F.array(*ranked).alias("p"))
     named = [F.struct(F.lit("overall").alias("slice"), F.lit("").alias("value"), whole.alias("x"))]
     named += [F.struct(F.lit("level").alias("slice"), F.lit(str(n)).alias("value"), F.struct(at_level(truth, n).alias("t"), F.array(*[at_level(c, n) for c in ranked]).alias("p")).alias("x")) for n in levels]
-    named += [F.struct(F.lit(name).alias("slice"), F.coalesce(c.cast("string"), F.lit("N/A")).alias("value"), whole.alias("x")) for name, c in slices.items()]
-    rows = df.select(F.explode(F.array(*named)).alias("r")).select("r.slice", "r.value", F.col("r.x.t").alias("t"), F.col("r.x.p").alias("p")).where("t IS NOT NULL AND p[0] IS NOT NULL")
+    named += [F.struct(F.lit(name).alias("slice"), F.coalesce(f"_slice{n}", F.lit("N/A")).alias("value"), whole.alias("x")) for n, name in enumerate(slices)]
+    rows = once(df, truth, *ranked, *[c.cast("string").alias(f"_slice{n}") for n, c in enumerate(slices.values())]).select(F.explode(F.array(*named)).alias("r")).select("r.slice", "r.value", F.col("r.x.t").alias("t"), F.col("r.x.p").alias("p")).where("t IS NOT NULL AND p[0] IS NOT NULL")
     hit = lambda n: F.count_if(F.coalesce(F.array_contains(F.slice("p", 1, n), F.col("t")), F.lit(False)))
     counted = rows.groupBy("slice", "value", "t", F.col("p")[0].alias("p1")).agg(F.count("*").alias("n"), *[hit(n).alias(f"h{n}") for n in range(2, k + 1)])
     scored = _class_scores(counted.select("slice", "value", "t", F.col("p1").alias("p"), "n"), ["slice", "value"]).select("slice", "value", "n", "accuracy", "weighted_f1")
