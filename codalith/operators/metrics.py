@@ -20,7 +20,8 @@ def once(df: DataFrame, *columns: str | Column) -> DataFrame:
     explode of one element is where the optimizer stops to write a column's expression out in its place;
     with a look-up per level and rank such expressions grow past what can be compiled.
     """
-    return df.select(F.explode(F.array(F.struct(*columns))).alias("_once")).select("_once.*")
+    names = dict.fromkeys(c for c in columns if isinstance(c, str))
+    return df.select(F.explode(F.array(F.struct(*names, *[c for c in columns if not isinstance(c, str)]))).alias("_once")).select("_once.*")
 
 
 def share(condition: Column) -> Column:
