@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from codalith.llm.chat import OP1_SQL, op1_preference_format
 from codalith.llm.merge_dropout import op9_merge_dropout
+from codalith.llm.merkle import OP11_SQL, op11_merkle_manifest
 from codalith.llm.packing import op8_best_fit_packing
 from codalith.llm.quality_ranking import op5_quality_classifier
 from codalith.llm.quality_rules import op2_quality_rules
@@ -15,6 +16,6 @@ from codalith.llm.vector_search import OP4_SQL, op4_exact_topk
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_preference_format, op2_quality_rules, op3_substring_dedup, op4_exact_topk, op5_quality_classifier, op6_token_counts, op7_toxicity, op8_best_fit_packing, op9_merge_dropout, op10_simhash)
+    for f in (op1_preference_format, op2_quality_rules, op3_substring_dedup, op4_exact_topk, op5_quality_classifier, op6_token_counts, op7_toxicity, op8_best_fit_packing, op9_merge_dropout, op10_simhash, op11_merkle_manifest)
 }
-SQL = {"op1_preference_format": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_exact_topk": OP4_SQL}
+SQL = {"op1_preference_format": OP1_SQL, "op3_substring_dedup": OP3_SQL, "op4_exact_topk": OP4_SQL, "op11_merkle_manifest": OP11_SQL}
