@@ -39,14 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _OWN_DIRS[context]
 
 
-def stage_table(df: DataFrame, label: str) -> DataFrame:
+def stage_table(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends here and lost executors cost nothing.
 
     All tables of an application are in one folder of its name, which may go when the application has ended.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/codalith-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd"} | (options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -36,9 +36,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and for each document the number of its first word (n + 1 numbers)."""
-    filled = ~SPACE[data]
+def bounds(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and for each document the number of its first word (n + 1 numbers); apart says which bytes are in no word."""
+    filled = ~apart[data]
     edge = np.ones(len(data) + 1, bool)
     if len(data):
         edge[1:-1] = filled[1:] != filled[:-1]
@@ -106,6 +106,11 @@ def same(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b
 
 def exact(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Word hashes that are equal for equal words alone, within this data."""
+    return exact_by_seeds(data, starts, ends)[0]
+
+
+def exact_by_seeds(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
+    """The hashes of exact(), and with how many seeds, from 0 on, they were made."""
     keys = hashes(data, starts, ends)
     odd, seed = np.arange(len(keys)), 0
     while True:
@@ -113,7 +118,7 @@ def exact(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         twin = first[which]
         odd = np.flatnonzero((twin != np.arange(len(keys))) & ~same(data, starts, ends, data, starts[twin], ends[twin]))
         if not len(odd):
-            return keys
+            return keys, seed + 1
         seed += 1
         keys[odd] = hashes(data, starts[odd], ends[odd], seed)
 
