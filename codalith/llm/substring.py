@@ -7,7 +7,7 @@ what a smaller doc_id takes from the others. Losses are gathered by document and
 that repeat merge into maximal removal intervals.
 
 A window that a third of all documents hold costs one record per block, and its bucket no memory for
-them. There are never more rows than windows: buckets grow in number with the corpus, not in size, and
+them; rows that repeat a doc_id cost one record for each window and sixteen bits of the text's hash. There are never more rows than windows: buckets grow in number with the corpus, not in size, and
 the rows between blocks and them shrink to single records.
 
 Windows are equal if 64 bits of one word hash, 8 bits of another and the bits that choose the bucket
@@ -69,8 +69,17 @@ def _joined(pieces: list[Records]) -> Records:
     return tuple(np.concatenate(x) for x in zip(*pieces))
 
 
+def _distinct(window: np.ndarray, docs: np.ndarray, route: np.ndarray) -> np.ndarray:
+    """Places of one record of each window, doc_id and route. Records that share a hash but are different stay, whatever else is there."""
+    key = words.mix(window.astype(U) * U(BASE) ^ words.mix(docs.view(U) ^ words.mix(route.astype(U) + U(1))))
+    order = np.argsort(key)
+    again = np.zeros(len(order), bool)
+    again[1:] = (key[order[1:]] == key[order[:-1]]) & (window[order[1:]] == window[order[:-1]]) & (docs[order[1:]] == docs[order[:-1]]) & (route[order[1:]] == route[order[:-1]])
+    return np.sort(order[~again])
+
+
 def first_owners(records: Records) -> tuple[np.ndarray, np.ndarray]:
-    """The places of one record per window, of its smallest doc_id (and for each of that one's routes), and of all records of larger doc_ids."""
+    """The places of one record per window, of its smallest doc_id (and for each of that one's routes), and of one record for each window, doc_id and route of larger doc_ids."""
     h, second, docs, route = records
     order = np.argsort(h)
     begin, size = _runs(h[order])
@@ -89,8 +98,9 @@ def first_owners(records: Records) -> tuple[np.ndarray, np.ndarray]:
     several = np.minimum.reduceat(np.where(own, route[order], np.uint16(0xFFFF)), begin) != top
     place = np.full(len(begin), len(order))
     np.minimum.at(place, run[own], np.flatnonzero(own))
-    extra = np.flatnonzero(own & several[run])
-    return order[np.r_[place[~several], extra]], order[~own]
+    extra, lost = np.flatnonzero(own & several[run]), np.flatnonzero(~own)
+    once = lambda at: at[_distinct(run[at], docs[order[at]], route[order[at]])] if len(at) else at
+    return order[np.r_[place[~several], once(extra)]], order[once(lost)]
 
 
 def _pack(bucket: np.ndarray, records: Records) -> Iterator[tuple[int, bytes]]:
@@ -221,9 +231,17 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def take(part: int):
         held: list[Records] = []
+        n_held, room = 0, 2 * BLOCK_WINDOWS
 
         def add(records: Records) -> Iterator[pa.RecordBatch]:
+            nonlocal n_held, room
             held.append(records)
+            n_held += len(records[0])
+            if n_held > room:  # several blocks may have told the same
+                joined = _joined(held)
+                held[:] = [_pick(joined, _distinct(joined[0], joined[2], joined[3]))]
+                n_held = len(held[0][0])
+                room = max(2 * BLOCK_WINDOWS, 2 * n_held)
             return iter(())
 
         def end() -> Iterator[pa.RecordBatch]:
