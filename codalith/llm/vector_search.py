@@ -1,7 +1,8 @@
 """Exact top-k search by inner product with vector-approximation files.
 
 Equal vectors are one node, with the k + 1 smallest vec_ids that have it: no others can be among k
-results. Nodes are stored as cells of a few bits per component, in blocks, apart from the exact
+results. A node that holds one vec_id alone is left out for the query of this id while cells are
+scanned, so each node that is counted for a query has a row for it, however many rows share its id. Nodes are stored as cells of a few bits per component, in blocks, apart from the exact
 vectors. Queries (a stated set, equal ones once) scan the cells alone: one product of a query with the
 cells' middles, and one error per query and block, bound each score from both sides. A task carries
 each query's best lower bounds from block to block, and the best of all tasks decide which nodes stay.
@@ -36,7 +37,8 @@ CELL_BITS, BLOCK_ROWS, QUERY_ROWS = 6, 4096, 256
 #: Scaled components are smaller, so a sum of products has at most 38 digits.
 LIMIT = float(1 << 52)
 
-_BLOCK = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("cells", pa.binary()), ("edges", pa.binary())])
+_BLOCK = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("owners", pa.binary()), ("cells", pa.binary()), ("edges", pa.binary())])
+_QUERY = pa.schema([("dim", pa.int32()), ("q_ids", pa.binary()), ("q_owners", pa.binary()), ("q_vectors", pa.binary())])
 
 
 def _quantised(embeddings: DataFrame, scale: int) -> DataFrame:
@@ -66,8 +68,10 @@ def bounds(q: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> tuple[np.ndar
 
 
 def _rows(batch: pa.RecordBatch, id_column: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    dims = batch.column("dim").to_numpy(zero_copy_only=False)
-    return dims, batch.column(id_column).to_numpy(zero_copy_only=False), batch.column("v").flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(dims)]
+    """Lengths, then of each row its id, its owner and whether it has one, the values and where each row's begin."""
+    dims, owner = batch.column("dim").to_numpy(zero_copy_only=False), batch.column("owner")
+    ids = (batch.column(id_column), owner.fill_null(0), owner.is_valid().cast(pa.int64()))
+    return dims, np.stack([x.to_numpy(zero_copy_only=False) for x in ids], axis=1), batch.column("v").flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(dims)]
 
 
 def _pack(rows: int, make, schema: pa.Schema, id_column: str):
@@ -98,25 +102,30 @@ def _pack(rows: int, make, schema: pa.Schema, id_column: str):
 
 def _data_block(ids: np.ndarray, v: np.ndarray) -> tuple[bytes, ...]:
     cells, edges = cells_of(v)
-    return ids.tobytes(), cells.tobytes(), edges.tobytes()
+    return ids[:, 0].tobytes(), ids[:, 1:].tobytes(), cells.tobytes(), edges.tobytes()
+
+
+def _query_block(ids: np.ndarray, v: np.ndarray) -> tuple[bytes, ...]:
+    return ids[:, 0].tobytes(), ids[:, 1:].tobytes(), v.tobytes()
 
 
 class Scan:
     """A block of queries on its way through blocks of cells: the best lower bounds, and what may be a result."""
 
-    def __init__(self, ids: np.ndarray, q: np.ndarray, k: int):
-        self.ids, self.q, self.k = ids, q, k
+    def __init__(self, ids: np.ndarray, owners: np.ndarray, q: np.ndarray, k: int):
+        self.ids, self.owners, self.q, self.k = ids, owners, q, k
         self.best = np.full((len(q), k), -np.inf)  # each query's k best lower bounds, the k-th in front
         self.found: list[tuple[np.ndarray, ...]] = []
 
-    def meet(self, ids: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> None:
+    def meet(self, ids: np.ndarray, owners: np.ndarray, cells: np.ndarray, edges: np.ndarray) -> None:
         score, off = bounds(self.q, cells, edges)
+        score[(self.owners[:, None, 1] & owners[None, :, 1]).astype(bool) & (self.owners[:, None, 0] == owners[None, :, 0])] = -np.inf  # a query's own rows
         if len(ids) > self.k and not np.isfinite(self.best[:, 0]).all():
             top = np.partition(score, len(ids) - self.k, axis=1)[:, len(ids) - self.k :] - off[:, None]
             self.best = np.sort(np.c_[self.best, top], axis=1)[:, -self.k :]
-            which, row = np.nonzero(score + off[:, None] >= self.best[:, :1])
+            which, row = np.nonzero((score + off[:, None] >= self.best[:, :1]) & np.isfinite(score))
         else:
-            which, row = np.nonzero(score + off[:, None] >= self.best[:, :1])
+            which, row = np.nonzero((score + off[:, None] >= self.best[:, :1]) & np.isfinite(score))
             for n in np.unique(which).tolist():
                 low = score[n, row[which == n]] - off[n]
                 if low.max() > self.best[n, 0]:
@@ -127,7 +136,7 @@ class Scan:
         which, node, score, off = (np.concatenate(x) for x in zip(*self.found))
         near = score + off >= self.best[which, 0]
         which, node, score, off = which[near], node[near], score[near], off[near]
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[which]), pa.array(node), pa.array(score - off), pa.array(score + off)], ["u", "node", "lower", "upper"])
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[which]), pa.array(node), pa.array(score - off), pa.array(score + off)], ["unit", "node", "lower", "upper"])
 
 
 def _meet(k: int):
@@ -140,9 +149,9 @@ def _meet(k: int):
                     if scan is not None:
                         yield scan.close()
                     now, q_ids = row["q_ids"], np.frombuffer(row["q_ids"], np.int64)
-                    scan = Scan(q_ids, np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), dim).astype(np.float64), k)
+                    scan = Scan(q_ids, np.frombuffer(row["q_owners"], np.int64).reshape(-1, 2), np.frombuffer(row["q_vectors"], np.int64).reshape(len(q_ids), dim).astype(np.float64), k)
                 ids = np.frombuffer(row["ids"], np.int64)
-                scan.meet(ids, np.frombuffer(row["cells"], np.uint8).reshape(len(ids), dim), np.frombuffer(row["edges"], np.int64).reshape(2, dim))
+                scan.meet(ids, np.frombuffer(row["owners"], np.int64).reshape(-1, 2), np.frombuffer(row["cells"], np.uint8).reshape(len(ids), dim), np.frombuffer(row["edges"], np.int64).reshape(2, dim))
         if scan is not None:
             yield scan.close()
         common.trim()
@@ -167,43 +176,44 @@ def top_k(embeddings: DataFrame, is_query, k: int = K, scale: int = SCALE) -> Da
     rows = common.stage_table(rows, "vectors")
     first = F.row_number().over(Window.partitionBy("dim", "v").orderBy("vec_id"))
     nodes = rows.withColumn("n", first).where(F.col("n") <= k + 1).groupBy("dim", "v").agg(F.collect_list(F.struct("vec_id", "times")).alias("members"))  # k + 1 at most
-    nodes = common.stage_table(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    nodes = nodes.withColumns({"node": F.monotonically_increasing_id(), "owner": F.when(F.size("members") == 1, F.col("members")[0]["vec_id"])})
+    nodes = common.stage_table(nodes, "nodes")
 
-    chosen = rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q"), F.sum("times").alias("own"))
-    queries = chosen.select("vec_id", "own", F.col("q.dim").alias("dim"), F.col("q.v").alias("v")).join(nodes.select("dim", "v", F.col("node").alias("u")), ["dim", "v"]).select(F.col("vec_id").alias("query_id"), "own", "u")
-    queries = common.stage_table(queries, "queries")
-    own = queries.agg(F.max("own")).first()[0] or 0
-    want = k + own  # so many rows, and so many nodes, hold k that aren't the query's own
+    # Queries of one vector are a unit, unless rows of the query's id alone must be left out for it.
+    chosen = rows.where(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q"), F.count("*").alias("vectors"))
+    queries = chosen.select("vec_id", "vectors", F.col("q.dim").alias("dim"), F.col("q.v").alias("v")).join(nodes.select("dim", "v", "node", "owner"), ["dim", "v"])
+    queries = common.stage_table(queries.select(F.col("vec_id").alias("query_id"), F.col("node").alias("u"), F.when((F.col("vectors") > 1) | F.col("owner").isNotNull(), F.col("vec_id")).alias("ask")), "queries")
+    units = common.stage_table(queries.select("u", "ask").distinct().withColumn("unit", F.monotonically_increasing_id()), "units")
 
     # Each block of queries is dealt to all groups of data blocks, so that no task holds all of either side.
-    groups = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    data = nodes.select("node", "dim", "v").mapInArrow(_pack(BLOCK_ROWS, _data_block, _BLOCK, "node"), "dim int, ids binary, cells binary, edges binary")
+    groups = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-nodes.count() // BLOCK_ROWS)))
+    data = nodes.select("node", "owner", "dim", "v").mapInArrow(_pack(BLOCK_ROWS, _data_block, _BLOCK, "node"), "dim int, ids binary, owners binary, cells binary, edges binary")
     data = data.withColumn("g", F.pmod(F.xxhash64("ids"), F.lit(groups)))
-    vectors = nodes.join(queries.select("u").distinct(), F.col("node") == F.col("u"), "left_semi").select("node", "dim", "v")
-    _QUERY = pa.schema([("dim", pa.int32()), ("q_ids", pa.binary()), ("q_vectors", pa.binary())])
-    asked = vectors.mapInArrow(_pack(QUERY_ROWS, lambda ids, v: (ids.tobytes(), v.tobytes()), _QUERY, "node"), "dim int, q_ids binary, q_vectors binary")
+    vectors = units.join(nodes.select("node", "dim", "v"), F.col("node") == F.col("u")).select("unit", F.col("ask").alias("owner"), "dim", "v")
+    asked = vectors.mapInArrow(_pack(QUERY_ROWS, _query_block, _QUERY, "unit"), "dim int, q_ids binary, q_owners binary, q_vectors binary")
     asked = asked.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     # The merge join brings the blocks of data to a block of queries one after another.
-    met = asked.join(data.hint("merge"), ["g", "dim"]).select("dim", "q_ids", "q_vectors", "ids", "cells", "edges")
-    found = common.stage_table(met.mapInArrow(_meet(want), "u long, node long, lower double, upper double"), "bounds")
+    met = asked.join(data.hint("merge"), ["g", "dim"]).select("dim", "q_ids", "q_owners", "q_vectors", "ids", "owners", "cells", "edges")
+    found = common.stage_table(met.mapInArrow(_meet(k), "unit long, node long, lower double, upper double"), "bounds")
 
     def kth(scores: DataFrame, column: str) -> DataFrame:
-        """u and the want-th largest value of column, or null where there are fewer."""
-        ranked = scores.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.col(column).desc()))).where(F.col("n") <= want)
-        return ranked.groupBy("u").agg(F.when(F.count("*") == want, F.min(column)).alias("least"))
+        """unit and the k-th largest value of column, or null where there are fewer."""
+        ranked = scores.withColumn("n", F.row_number().over(Window.partitionBy("unit").orderBy(F.col(column).desc()))).where(F.col("n") <= k)
+        return ranked.groupBy("unit").agg(F.when(F.count("*") == k, F.min(column)).alias("least"))
 
     def exact(pairs: DataFrame) -> DataFrame:
-        asked = nodes.select(F.col("node").alias("u"), F.col("v").alias("q"))
-        return pairs.join(nodes.select("node", "v", "members"), "node").join(asked, "u").select("u", "members", _product("v", "q").alias("score"))
-
-    near = found.join(kth(found, "lower"), "u").where("least IS NULL OR upper >= least").select("u", "node", "upper")
-    near = common.stage_table(near.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.col("upper").desc(), "node"))), "near")
-    read = common.stage_table(exact(near.where(F.col("n") <= want)), "read")
-    more = near.where(F.col("n") > want).join(kth(read, "score"), "u").where("least IS NULL OR upper >= least")
-    scored = read.union(exact(more)).select("u", "score", F.explode("members").alias("m")).select("u", "score", "m.vec_id", F.explode(F.array_repeat(F.lit(1), F.col("m.times").cast("int"))))
-    ranked = scored.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy(F.col("score").desc(), "vec_id"))).where(F.col("n") <= want)
-    lists = ranked.groupBy("u").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("r"))  # want rows at most
-    mine = queries.join(lists, "u").select("query_id", F.posexplode(F.slice(F.filter("r", lambda x: x["vec_id"] != F.col("query_id")), 1, k)).alias("at", "x"))
+        asked = units.join(nodes.select(F.col("node").alias("own"), F.col("v").alias("q")), F.col("own") == F.col("u")).select("unit", "q", "ask")
+        return pairs.join(nodes.select("node", "v", "members"), "node").join(asked, "unit").select("unit", "ask", "members", _product("v", "q").alias("score"))
+
+    near = found.join(kth(found, "lower"), "unit").where("least IS NULL OR upper >= least").select("unit", "node", "upper")
+    near = common.stage_table(near.withColumn("n", F.row_number().over(Window.partitionBy("unit").orderBy(F.col("upper").desc(), "node"))), "near")
+    read = common.stage_table(exact(near.where(F.col("n") <= k)), "read")
+    more = near.where(F.col("n") > k).join(kth(read, "score"), "unit").where("least IS NULL OR upper >= least")
+    scored = read.union(exact(more)).select("unit", "ask", "score", F.explode("members").alias("m")).where("ask IS NULL OR m.vec_id <> ask").select("unit", "score", "m.vec_id", F.explode(F.array_repeat(F.lit(1), F.col("m.times").cast("int"))))
+    # A unit without ask: each query has its own rows, k of them at most, in one node.
+    ranked = scored.withColumn("n", F.row_number().over(Window.partitionBy("unit").orderBy(F.col("score").desc(), "vec_id"))).where(F.col("n") <= 2 * k)
+    lists = ranked.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("r"))  # 2 * k rows at most
+    mine = queries.withColumnsRenamed({"u": "v", "ask": "id"}).join(units, (F.col("v") == F.col("u")) & F.col("id").eqNullSafe(F.col("ask"))).join(lists, "unit").select("query_id", F.posexplode(F.slice(F.filter("r", lambda x: x["vec_id"] != F.col("query_id")), 1, k)).alias("at", "x"))
     shown = F.greatest(F.least(F.col("x.score"), F.lit(2**63 - 1).cast("decimal(38,0)")), F.lit(-(2**63)).cast("decimal(38,0)")).cast("long")
     return mine.select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), shown.alias("score"))
 

@@ -33,19 +33,56 @@ def test_bounds_hold_and_few_exact_vectors_are_read(size):
     random = np.random.default_rng(4)
     v = np.floor(1024 * size * random.normal(size=(4000, 16))).astype(np.int64)
     ids = np.arange(4000)
-    scan = vector_search.Scan(ids[:20], v[:20].astype(np.float64), 11)
+    owners = np.stack([ids, (ids % 2 == 0).astype(int)], axis=1)  # nodes of odd numbers hold several ids
+    scan = vector_search.Scan(ids[:20], owners[:20], v[:20].astype(np.float64), 11)
     for at in range(0, 4000, 1000):
         cells, edges = vector_search.cells_of(v[at : at + 1000])
-        scan.meet(ids[at : at + 1000], cells, edges)
+        scan.meet(ids[at : at + 1000], owners[at : at + 1000], cells, edges)
     rows = scan.close().to_pydict()
     exact = {(n, k): int(sum(int(x) * int(y) for x, y in zip(v[n], v[k]))) for n in range(20) for k in range(4000)}
-    assert all(low <= exact[u, k] <= high for u, k, low, high in zip(rows["u"], rows["node"], rows["lower"], rows["upper"]))
+    assert all(low <= exact[u, k] <= high for u, k, low, high in zip(rows["unit"], rows["node"], rows["lower"], rows["upper"]))
     for n in range(20):
-        best = sorted(range(4000), key=lambda k: -exact[n, k])[:11]  # noqa: B023
-        near = {k for u, k in zip(rows["u"], rows["node"]) if u == n}
+        best = sorted((k for k in range(4000) if n % 2 or k != n), key=lambda k: -exact[n, k])[:11]  # noqa: B023
+        near = {k for u, k in zip(rows["unit"], rows["node"]) if u == n}
         assert near.issuperset(best) and len(near) < 400
 
 
+def test_rows_that_share_a_query_id_are_left_out_while_cells_are_scanned():
+    """An id in very many rows costs its own query no reads, and others none more than before."""
+    random = np.random.default_rng(8)
+    v = np.floor(1024 * random.normal(size=(7000, 16))).astype(np.int64)
+    ids = np.arange(7000)
+    reads = {}
+    for repeated in (False, True):
+        owner = np.where(ids >= 4000, 0, ids) if repeated else ids
+        n = 7000 if repeated else 4000
+        owners = np.stack([owner, np.ones(7000, int)], axis=1)
+        scan = vector_search.Scan(ids[:40], owners[:40], v[:40].astype(np.float64), 10)
+        for at in range(0, n, 1000):
+            cells, edges = vector_search.cells_of(v[at : at + 1000])
+            scan.meet(ids[at : at + 1000], owners[at : at + 1000], cells, edges)
+        rows = scan.close().to_pydict()
+        reads[repeated] = len(rows["unit"])
+        if repeated:
+            of_first = {k for u, k in zip(rows["unit"], rows["node"]) if u == 0}
+            assert not of_first & {0, *range(4000, 7000)} and of_first >= set(sorted(range(1, 4000), key=lambda k: -int(v[0] @ v[k]))[:10])
+    assert reads[True] < 2 * reads[False]
+
+
+def test_an_id_in_many_rows_equals_brute_force(spark):
+    random = np.random.default_rng(6)
+    rows = [(i, [float(x) for x in random.normal(size=5) * 0.3]) for i in range(301)]
+    rows += [(100, [float(x) for x in random.normal(size=5) * 0.3]) for _ in range(250)] + [(200, rows[7][1])] * 30 + [(300, rows[0][1]), (7, rows[100][1]), (100, rows[200][1]), (100, rows[100][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    usable = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = []
+    for i in (0, 100, 200, 300):
+        q = min(v for j, v in usable if j == i)
+        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in usable if j != i)[:10]
+        want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    assert sorted(tuple(r) for r in vector_search.top_k(df, F.col("vec_id") % 100 == 0).collect()) == want
+
+
 def test_large_components_and_many_copies(spark):
     random = np.random.default_rng(9)
     rows = [(i, [float(x) for x in random.normal(size=4) * 2.0**30]) for i in range(120)]
