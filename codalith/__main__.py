@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codalith.operators import classifiers, decision, metrics, reports, scores, training
+from codalith.operators import classifiers, decision, metrics, networks, reports, scores, training
 from codalith.plans import catalog
 from codalith.sources.readers import load_training_set, read_any, write_any
 
@@ -23,6 +23,12 @@ def _train(spark, a) -> None:
         rows = training.supported(rows, a.code, a.min_samples)
     if a.kind == "flat":
         model = classifiers.fit_flat(rows, classifiers.char_ngrams("text"), a.code)
+    elif a.kind == "embedding":
+        model = networks.fit_embedding(rows, "text", a.code, a.key, a.steps, a.rate)
+    elif a.kind == "embedding-cascade":
+        model = networks.fit_embedding_cascade(rows, "text", a.code, a.depth, a.forcing, a.key, a.steps, a.rate)
+    elif a.kind == "joint-heads":
+        model = networks.fit_joint_heads(rows, "text", a.code, a.depth, a.key, steps=a.steps, rate=a.rate)
     elif a.kind == "cascade":
         model = classifiers.fit_cascade(rows, "text", a.code, a.depth, forcing=a.forcing, key=a.key)
     else:
@@ -30,6 +36,14 @@ def _train(spark, a) -> None:
     classifiers.save_model(model, spark, a.model)
 
 
+def _fine_tune(spark, a) -> None:
+    rows = load_training_set(read_any(spark, a.data), technical=a.technical, code=a.code, product=a.text).where(F.col(a.code).isNotNull())
+    model = classifiers.load_model(spark, a.model)
+    if not isinstance(model, (networks.NetworkModel, networks.EmbeddingCascade)) and not (isinstance(model, classifiers.HeadsModel) and isinstance(model.heads[0], networks.NetworkModel)):
+        raise SystemExit("only models with embeddings can be fitted on")
+    classifiers.save_model(networks.fine_tune(model, rows, "text", a.code, a.key, a.steps, a.rate), spark, a.tuned)
+
+
 def _predict(spark, a) -> None:
     rows = read_any(spark, a.data).withColumn("text", F.lower(F.trim(a.text)))
     model = classifiers.load_model(spark, a.model)
@@ -103,7 +117,8 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--keys", required=True, help="columns to sort by, with commas")
             p.add_argument("--html", action="store_true")
     table = {"data": needed}
-    command("train", "a classifier of labels", _train, **table, model=needed, kind={"choices": ("flat", "cascade", "heads"), "default": "cascade"}, text={"default": "product"}, code={"default": "code"}, key={"default": "id"}, depth=number(3), forcing={"type": float, "default": 1.0}, min_samples=number(1), technical={"action": "store_true"})
+    command("train", "a classifier of labels", _train, **table, model=needed, kind={"choices": ("flat", "cascade", "heads", "embedding", "embedding-cascade", "joint-heads"), "default": "cascade"}, text={"default": "product"}, code={"default": "code"}, key={"default": "id"}, depth=number(3), forcing={"type": float, "default": 1.0}, min_samples=number(1), technical={"action": "store_true"}, steps=number(50), rate={"type": float, "default": 0.05})
+    command("fine-tune", "a model with embeddings on later rows of classes that it knows", _fine_tune, **table, model=needed, tuned=needed, text={"default": "product"}, code={"default": "code"}, key={"default": "id"}, technical={"action": "store_true"}, steps=number(5), rate={"type": float, "help": "a tenth of the model's own, if not given"})
     command("predict", "codes of a table's labels by a trained classifier", _predict, **table, model=needed, output=output, text={"default": "product"}, key={"default": "id"}, top_k=number(1), beam_size=number(1), threshold={"type": float, "default": 0.0})
     command("evaluate", "accuracy, F1 and top-k, overall and by level and columns", _evaluate, **table, output=output, truth={"default": "code"}, predicted={"default": "predicted", "help": "columns by rank, with commas"}, by={"default": ""}, depth=number(4))
     command("top-k", "top-k accuracy by level and columns", _top_k, **table, output=output, truth={"default": "code"}, predicted={"default": "predicted"}, by={"default": ""}, depth=number(4))

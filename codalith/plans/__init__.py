@@ -1,5 +1,5 @@
-"""The registry of queries: catalog holds it, evaluations and scorings add to it."""
+"""The registry of queries: catalog holds it, the others add to it."""
 
-from codalith.plans import catalog, evaluations, scorings
+from codalith.plans import catalog, evaluations, learning, scorings
 
-__all__ = ["catalog", "evaluations", "scorings"]
+__all__ = ["catalog", "evaluations", "learning", "scorings"]

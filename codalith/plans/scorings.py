@@ -276,3 +276,11 @@ def nearest_with_exact_matches(spark, d):
 def lines_without_stamps(spark, d):
     rows = spark.read.parquet(f"{d}/pages.parquet").select("page_id", F.posexplode(F.array(F.col("page_id").cast("string"), F.lit("2024-01-02 news"), F.concat("url", F.lit(" 2024-01-02T10:11:12+01:00 read")), F.lit("Updated: 19/12/2025"))).alias("at", "x"))
     return rows.select("page_id", (F.col("at") + 1).alias("i"), readers.without_stamps("x").alias("line"))
+
+
+@query()
+def nearest_items_of_lines(spark, d):
+    """For each distinct line of all documents that has one, the benchmark item that it is most like; no SQL, as it would take all pairs."""
+    lines = spark.read.parquet(f"{d}/documents.parquet").select(F.explode(F.split("text", "\n")).alias("s1"))
+    items = spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("text").alias("s2"))
+    return _rounded(similarity.best_reference(similarity.similar_pairs(lines, items)), "distance", "prop_in_s1", "prop_in_s2")

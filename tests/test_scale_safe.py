@@ -47,6 +47,69 @@ def test_long_lists_meet_in_few_candidates(spark):
     assert len(nearest) == 10_000 and all(r.s1[:25] == r.s2[:25] and abs(r.distance - 1 / 6) < 1e-9 for r in nearest)
 
 
+def test_labels_of_very_different_lengths_equal_all_pairs(spark):
+    """Labels of 2000 characters beside short ones: the same pairs as all pairs give, and rows of numbers alone."""
+    random = np.random.default_rng(7)
+    draw = lambda n: "".join(random.choice(list("abcdefgh "), n))
+    long = [draw(2000) for _ in range(4)]
+    left = [*long, draw(450), *(draw(n) for n in (3, 20, 60, 90, 250)), "ABCD" * 500]
+    right = [long[0][700:1200] + draw(900), long[1][:399], long[1][:400], long[2].upper()[100:] + "!", "x" + left[5], draw(30), "abcd" * 450 + draw(200), left[4][:80]]
+    want = set()
+    for a in left:
+        for b in right:
+            i, n = similarity.longest_common(a, b)
+            assert similarity.Substrings(b.upper()).common(a.upper()) == (i, n)
+            if a != b and round(1 - n / max(len(a), len(b)), 9) <= 0.8:
+                want.add((a, b, a[i : i + n]))
+    found = similarity.similar_pairs(spark.createDataFrame([(x,) for x in left], "s1 string"), spark.createDataFrame([(x,) for x in right], "s2 string"))
+    rows = [(r.s1, r.s2, r.common_substring) for r in found.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want and (long[1], long[1][:400]) in {r[:2] for r in rows} and (long[1], long[1][:399]) not in {r[:2] for r in rows}
+
+
+def test_lines_and_items_equal_all_pairs(spark, tmp_path):
+    from codalith.plans import catalog
+
+    random = np.random.default_rng(12)
+    words = [chr(97 + k) * 3 + "o" for k in range(20)]
+    draw = lambda n: " ".join(random.choice(words, n))
+    items = [draw(12) for _ in range(6)] + [None, ""]
+    texts = [f"{draw(8)}\n{items[k % 6]}!\n{items[k % 5][:30]} {draw(6)}\n\n" for k in range(12)] + [None, items[0], draw(400)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    want = {}
+    for a in {x for t in texts if t for x in t.split("\n") if x}:
+        near = []
+        for b in filter(None, items):
+            i, n = similarity.longest_common(a, b)
+            if a != b and round(1 - n / max(len(a), len(b)), 9) <= 0.8:
+                near.append((round(1 - n / max(len(a), len(b)), 9), -round(n / len(b), 9), b))
+        if near:
+            want[a] = min(near)[2]
+    found = {r.s1: r.s2 for r in catalog.QUERIES["nearest_items_of_lines"](spark, str(tmp_path)).collect()}
+    assert found == want and len(found) > 20
+
+
+def test_automaton_equals_all_substrings():
+    random = np.random.default_rng(8)
+    for _ in range(300):
+        a, b = ("".join(random.choice(list("abé"), random.integers(0, 12))) for _ in range(2))
+        if a and b:
+            assert similarity.Substrings(upper(b)).common(upper(a)) == brute(a, b) or not brute(a, b)[1]
+
+
+def test_hashes_of_runs_are_those_of_the_runs():
+    random = np.random.default_rng(1)
+    points = random.integers(1, 4, 60).astype(np.uint64)
+    for size in (1, 2, 3, 7, 8, 31, 60):
+        h = similarity.run_hashes(points, size)
+        runs = [tuple(points[k : k + size].tolist()) for k in range(60 - size + 1)]
+        assert len(set(zip(runs, h.tolist()))) == len(set(runs)) == len(set(h.tolist()))
+    assert len(similarity.run_hashes(points, 61)) == 0
+    for n in range(1, 400):  # each partner of a label has a class in which both are
+        smallest = similarity.length_classes(5 * n)
+        assert all(similarity.needed(smallest[k]) <= similarity.needed(n) for k in range(len(smallest)) if smallest[k] <= n)
+
+
 @pytest.mark.parametrize("kind", ["normal", "few", "one", "wide"])
 def test_quantiles_are_exact(spark, kind):
     random = np.random.default_rng(4)
