@@ -126,6 +126,8 @@ def _pieces(path: str, capacity: int, end_id: int):
                         for column, value in zip(rows, (d, k, at // 4, len(part) // 4, zlib.crc32(part))):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _PIECES)], schema=_PIECES)
+        del tokenizer
+        common.trim()  # else each waiting worker keeps a tokenizer and what it has looked up
 
     return run
 
