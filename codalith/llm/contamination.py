@@ -39,8 +39,10 @@ U = np.uint64
 WIDTH = 10
 #: Text bytes of a block of documents and of a slab of items, and candidate places that are compared at once.
 BLOCK_BYTES, SLAB_BYTES, CANDIDATES = 6 << 20, 4 << 20, 1 << 20
-#: Bytes of a row group of the index, since a reader holds one whole.
-GROUP_BYTES = 16 << 20
+#: Bytes of a row group of the index, since a writer and a reader hold one whole. Parquet's writer compares its bytes only after
+#: so many rows (100 unless told otherwise, which would be 700 MB of blocks), so it is told to look at every row and to end after a few.
+GROUP_BYTES, GROUP_ROWS = 16 << 20, 2
+_GROUPS = {"parquet.block.size": str(GROUP_BYTES), "parquet.block.row.count.limit": str(GROUP_ROWS), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _APART = np.ones(256, bool)
@@ -274,7 +276,7 @@ def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield from rows()
         common.trim()
 
-    return common.stage_table(plain.mapInArrow(run, _INDEX), "index", {"parquet.block.size": str(GROUP_BYTES)})
+    return common.stage_table(plain.mapInArrow(run, _INDEX), "index", _GROUPS)
 
 
 def _slabs(items: DataFrame, slab_bytes: int) -> Iterator[pa.Table]:

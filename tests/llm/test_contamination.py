@@ -125,3 +125,14 @@ def test_sql_equals_the_query_on_awkward_rows(spark, tmp_path):
     names = [c[0] for c in answer.description]
     want = sorted(tuple(r[names.index(c)] for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")) for r in answer.fetchall() if r[names.index("doc_id")] is not None)
     assert [r for r in rows(contamination.op12_decontaminate(spark, str(tmp_path))) if r[0] is not None] == sorted(want, key=str)
+
+
+def test_the_index_is_written_in_small_row_groups(spark):
+    """Else a task with many blocks holds them all until a hundred rows are written."""
+    from pyarrow import parquet
+
+    docs = documents(spark, [(k, f"w{k} " * 50) for k in range(60)]).coalesce(1)
+    index = contamination.build_index(docs, block_bytes=100)
+    files = [parquet.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    sizes = [f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+    assert sum(sizes) == index.count() == 60 and max(sizes) <= contamination.GROUP_ROWS
